@@ -324,7 +324,104 @@ def _gate() -> str:
 
 
 # --- extensions --------------------------------------------------------------
-EXTENSION_SQL: dict[str, str] = {}
+EXTENSION_SQL: dict[str, str] = {
+    "x01_demand_concentration": f"""
+SELECT segment, CAST(COUNT(*) AS BIGINT) AS products, CAST(SUM(units_sold) AS BIGINT) AS units,
+       {_pct('SUM(units_sold)', 'ANY_VALUE(tot)', 2)} AS units_share_pct
+FROM (SELECT units_sold,
+             CASE WHEN row_number() OVER (ORDER BY units_sold DESC NULLS LAST, product_id) * 100
+                       <= COUNT(*) OVER () * 20 THEN 'top_20pct' ELSE 'other' END AS segment,
+             SUM(units_sold) OVER () AS tot
+      FROM g_product_sales) r
+GROUP BY segment""",
+    "x02_orders_by_hour": f"""
+SELECT hour, CAST(COUNT(*) AS BIGINT) AS orders,
+       {_pct('COUNT(*)', '(SELECT COUNT(*) FROM events WHERE event_type = ' + "'purchase'" + ' AND ts IS NOT NULL)', 1)}
+         AS pct_of_orders
+FROM (SELECT CAST(hour(ts) AS INT) AS hour FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL) e
+GROUP BY hour""",
+    "x03_slow_stores": """
+SELECT store_id,
+       CAST((20 * CAST(s AS HUGEINT) + c) // NULLIF(2 * c, 0) AS DOUBLE) / 10 AS avg_delivery_minutes
+FROM (SELECT store_id, SUM(delivery_time_minutes) AS s, COUNT(delivery_time_minutes) AS c,
+             SUM(delivery_time_minutes) / COUNT(delivery_time_minutes) AS m
+      FROM s_orders GROUP BY store_id) st
+WHERE m > (SELECT AVG(m) + 2.0 * STDDEV_SAMP(m) FROM
+             (SELECT SUM(delivery_time_minutes) / COUNT(delivery_time_minutes) AS m
+              FROM s_orders GROUP BY store_id) x)""",
+    "x04_cancel_by_delay": f"""
+SELECT delay_band, CAST(COUNT(*) AS BIGINT) AS orders,
+       CAST(COUNT_IF(order_status = 'Cancelled') AS BIGINT) AS cancelled,
+       {_pct("COUNT_IF(order_status = 'Cancelled')", 'COUNT(*)', 2)} AS cancel_rate_pct
+FROM (SELECT CASE WHEN delivery_time_minutes > 55 THEN '>55' ELSE '<=55' END AS delay_band, order_status
+      FROM s_orders WHERE delivery_time_minutes IS NOT NULL) b
+GROUP BY delay_band""",
+    "x05_duplicate_keys": """
+SELECT 'customers' AS table_name,
+       CAST(COUNT(DISTINCT customer_id) + MAX(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS keys,
+       CAST((SELECT COUNT(*) FROM (SELECT customer_id FROM b_customers GROUP BY customer_id HAVING COUNT(*) > 1) r) AS BIGINT)
+         AS repeated_keys,
+       CAST((SELECT COUNT(*) FROM (SELECT customer_id FROM s_customers GROUP BY customer_id HAVING COUNT(*) > 1) r) AS BIGINT)
+         AS conflicting_keys
+FROM b_customers
+UNION ALL
+SELECT 'products',
+       CAST(COUNT(DISTINCT product_id) + MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+       CAST((SELECT COUNT(*) FROM (SELECT product_id FROM b_products GROUP BY product_id HAVING COUNT(*) > 1) r) AS BIGINT),
+       CAST((SELECT COUNT(*) FROM (SELECT product_id FROM (SELECT DISTINCT * FROM b_products) d
+                                   GROUP BY product_id HAVING COUNT(*) > 1) r) AS BIGINT)
+FROM b_products""",
+    "x06_latest_snapshot": """
+SELECT product_id, CAST(COUNT(*) AS BIGINT) AS stores, CAST(SUM(s) AS BIGINT) AS total_stock
+FROM (SELECT store_id, product_id, SUM(stock_quantity) AS s
+      FROM (SELECT *, rank() OVER (PARTITION BY store_id, product_id
+                                   ORDER BY inventory_date DESC NULLS LAST) AS rk
+            FROM s_inventory) r
+      WHERE rk = 1 GROUP BY store_id, product_id) p
+GROUP BY product_id""",
+    "x07_weighted_aov": """
+SELECT CAST(COUNT(order_id) AS BIGINT) AS orders, CAST(COUNT(order_value) AS BIGINT) AS valued_orders,
+       CAST(SUM(order_value) AS DOUBLE) AS revenue,
+       CAST((2 * CAST(SUM(order_value * 100) AS HUGEINT) + COUNT(order_value))
+            // NULLIF(2 * COUNT(order_value), 0) AS DOUBLE) / 100 AS avg_order_value
+FROM orders_valued""",
+    "x08_delivery_by_location": """
+SELECT city, area, CAST(total_orders AS BIGINT) AS total_orders,
+       CAST((20 * s + c) // NULLIF(2 * c, 0) AS DOUBLE) / 10 AS avg_delivery_minutes,
+       CAST(late AS BIGINT) AS late_deliveries,
+       CAST((2000 * CAST(late AS HUGEINT) + total_orders) // NULLIF(2 * total_orders, 0) AS DOUBLE) / 10
+         AS late_delivery_pct
+FROM (SELECT c.city, c.area, COUNT(o.order_id) AS total_orders,
+             CAST(SUM(o.delivery_time_minutes) AS HUGEINT) AS s, COUNT(o.delivery_time_minutes) AS c,
+             COUNT_IF(o.delivery_time_minutes > 45) AS late
+      FROM s_orders o LEFT JOIN s_customers c ON o.customer_id = c.customer_id
+      GROUP BY c.city, c.area) t""",
+    "x09_demand_by_area": """
+SELECT c.city, c.area, CAST(SUM(i.quantity) AS BIGINT) AS units_sold
+FROM s_order_items i JOIN s_orders o ON i.order_id = o.order_id
+LEFT JOIN s_customers c ON o.customer_id = c.customer_id
+GROUP BY c.city, c.area""",
+    "x10_demand_stock_ratio": """
+SELECT product_id, product_name, total_stock, total_demand,
+       CAST((200 * CAST(total_demand AS HUGEINT) + total_stock) // NULLIF(2 * total_stock, 0) AS DOUBLE) / 100
+         AS demand_to_stock
+FROM g_inventory_health""",
+    "x11_stockout_by_decile": f"""
+SELECT decile, CAST(COUNT(*) AS BIGINT) AS products, CAST(COUNT_IF(is_stock_out) AS BIGINT) AS stocked_out,
+       {_pct('COUNT_IF(is_stock_out)', 'COUNT(*)', 2)} AS stock_out_rate_pct
+FROM (SELECT is_stock_out,
+             CAST(ntile(10) OVER (ORDER BY total_demand DESC NULLS LAST, product_id) AS INT) AS decile
+      FROM g_inventory_health) r
+GROUP BY decile""",
+    "x12_missing_snapshots": """
+SELECT p.store_id, p.product_id, p.last_seen
+FROM (SELECT store_id, product_id, MAX(inventory_date) AS last_seen FROM s_inventory
+      GROUP BY store_id, product_id) p
+WHERE NOT EXISTS (
+  SELECT 1 FROM s_inventory l
+  WHERE l.inventory_date = (SELECT MAX(inventory_date) FROM s_inventory)
+    AND l.store_id = p.store_id AND l.product_id = p.product_id)""",
+}
 
 
 def oracle_sql() -> dict[str, str]:

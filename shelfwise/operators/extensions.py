@@ -1,3 +1,223 @@
-"""Extensions (X1-X12): metrics the source pipeline names but does not compute."""
+"""Extensions (X1-X12): metrics the source pipeline names or implies but does
+not compute (README targets, patterns its data simulator plants, and gaps in
+its gold logic). All are ordinary DataFrame work over silver tables; facts
+are pre-aggregated to the join key before any join, and no ranking runs in
+a single task (see ``ranking``).
+"""
 
-EXTENSIONS: dict = {}
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfwise.functions import count_when, half_up_mean, half_up_ratio, percent, published
+from shelfwise.operators.gold import LATE_DELIVERY_MINUTES
+from shelfwise.operators.ranking import global_row_number, ntile_of
+
+# The simulator's delay cut-off for cancellations and the
+# default parameters of the concentration and slow-store rules.
+CANCEL_DELAY_MINUTES = 55
+TOP_SHARE_PCT = 20
+SLOW_STORE_SIGMAS = 2.0
+DECILES = 10
+
+
+def demand_concentration(sales: DataFrame, top_pct: int = TOP_SHARE_PCT) -> DataFrame:
+    """Units sold by the top ``top_pct``% of products vs the rest.
+
+    Products are ranked by (units desc, product_id); the top segment is the
+    first floor(n * top_pct / 100) of them.
+    """
+    ranked = global_row_number(
+        sales.select("product_id", "units_sold"),
+        [F.desc_nulls_last("units_sold"), F.asc_nulls_last("product_id")], "_rank")
+    n = ranked.agg(F.count(F.lit(1))).scalar()
+    total = ranked.agg(F.sum("units_sold")).scalar()
+    top = F.col("_rank") * 100 <= n * top_pct
+    return (
+        ranked.groupBy(F.when(top, F.lit(f"top_{top_pct}pct")).otherwise(F.lit("other")).alias("segment"))
+        .agg(F.count(F.lit(1)).alias("products"), F.sum("units_sold").alias("units"))
+        .select("segment", "products", "units", percent("units", total, 2).alias("units_share_pct"))
+    )
+
+
+def hour_of_day(time: Column, dtype: T.DataType) -> Column:
+    """Hour from a timestamp, or from an ``HH:MM:SS`` string column."""
+    if isinstance(dtype, T.StringType):
+        return F.substring(time, 1, 2).cast("int")
+    return F.hour(time)
+
+
+def orders_by_hour(orders: DataFrame, time_col: str = "order_time") -> DataFrame:
+    """Orders per hour of day with their share (1 dp); unknown times excluded."""
+    hour = hour_of_day(F.col(time_col), orders.schema[time_col].dataType)
+    hourly = orders.select(hour.alias("hour")).filter(F.col("hour").isNotNull())
+    total = hourly.agg(F.count(F.lit(1))).scalar()
+    return (
+        hourly.groupBy("hour").agg(F.count(F.lit(1)).alias("orders"))
+        .select("hour", "orders", percent("orders", total, 1).alias("pct_of_orders"))
+        .orderBy("hour")
+    )
+
+
+def slow_stores(orders: DataFrame, sigmas: float = SLOW_STORE_SIGMAS) -> DataFrame:
+    """Stores whose mean delivery time exceeds the mean of store means + k sd.
+
+    Two-step aggregate; the threshold is a scalar subquery, not a join.
+    """
+    minutes = F.col("delivery_time_minutes")
+    per_store = orders.groupBy("store_id").agg(F.sum(minutes).alias("_s"), F.count(minutes).alias("_c"))
+    per_store = per_store.withColumn("_mean", F.col("_s") / F.col("_c"))
+    threshold = per_store.agg(F.avg("_mean") + F.lit(sigmas) * F.stddev_samp("_mean")).scalar()
+    return (
+        per_store.filter(F.col("_mean") > threshold)
+        .select("store_id", half_up_mean("_s", "_c", 1).alias("avg_delivery_minutes"))
+        .orderBy(F.desc("avg_delivery_minutes"), "store_id")
+    )
+
+
+def cancel_by_delay(orders: DataFrame, cutoff: int = CANCEL_DELAY_MINUTES) -> DataFrame:
+    """Cancellation rate (2 dp) for deliveries up to and over ``cutoff`` minutes."""
+    minutes = F.col("delivery_time_minutes")
+    band = F.when(minutes > cutoff, F.lit(f">{cutoff}")).when(minutes.isNotNull(), F.lit(f"<={cutoff}"))
+    return (
+        orders.select(band.alias("delay_band"), "order_status")
+        .filter(F.col("delay_band").isNotNull())
+        .groupBy("delay_band")
+        .agg(F.count(F.lit(1)).alias("orders"),
+             count_when(F.col("order_status") == "Cancelled").alias("cancelled"))
+        .select("delay_band", "orders", "cancelled",
+                percent("cancelled", "orders", 2).alias("cancel_rate_pct"))
+    )
+
+
+def duplicate_keys(customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Ids that repeat, and ids whose rows differ (would fan out a join).
+
+    Customers are compared after the silver fill of ``area``, since rows
+    equal after filling collapse in cleaning.
+    """
+    frames = []
+    for name, df, key in (("customers", customers.fillna({"area": "Unknown"}), "customer_id"),
+                          ("products", products, "product_id")):
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        per_key_distinct = df.distinct().groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        conflicting = per_key_distinct.agg(count_when(F.col("_n") > 1)).scalar()
+        frames.append(per_key.agg(
+            F.count(F.lit(1)).alias("keys"),
+            count_when(F.col("_n") > 1).alias("repeated_keys"),
+        ).select(F.lit(name).alias("table_name"), "keys", "repeated_keys",
+                 conflicting.alias("conflicting_keys")))
+    return frames[0].unionByName(frames[1])
+
+
+def latest_per_pair(inventory: DataFrame) -> DataFrame:
+    """Stock on each (store, product)'s own latest snapshot, summed per product.
+
+    All rows of a pair on its latest date count (a pair can repeat within a
+    snapshot). Two aggregates, both with map-side combine: stock per
+    (pair, date), then the latest (date, stock) per pair via ``max(struct)``.
+    """
+    per_day = inventory.groupBy("store_id", "product_id", "inventory_date").agg(
+        F.sum("stock_quantity").alias("_stock"))
+    per_pair = per_day.groupBy("store_id", "product_id").agg(
+        F.max(F.struct("inventory_date", "_stock")).alias("_latest"))
+    return per_pair.groupBy("product_id").agg(
+        F.count(F.lit(1)).alias("stores"),
+        F.sum("_latest._stock").alias("total_stock"),
+    )
+
+
+def weighted_aov(orders_valued: DataFrame) -> DataFrame:
+    """Order-weighted average order value over all orders with items."""
+    return orders_valued.agg(
+        F.count("order_id").alias("orders"),
+        F.count("order_value").alias("valued_orders"),
+        published(F.sum("order_value")).alias("revenue"),
+        half_up_mean(F.sum("order_value"), F.count("order_value"), 2).alias("avg_order_value"),
+    )
+
+
+def delivery_by_location(orders: DataFrame, customers: DataFrame,
+                         late_after: int = LATE_DELIVERY_MINUTES) -> DataFrame:
+    """Delivery performance per (city, area); orders pre-aggregated per customer."""
+    minutes = F.col("delivery_time_minutes")
+    per_customer = orders.groupBy("customer_id").agg(
+        F.count("order_id").alias("_o"), F.sum(minutes).alias("_s"),
+        F.count(minutes).alias("_c"), count_when(minutes > late_after).alias("_l"))
+    dims = customers.select("customer_id", "city", "area")
+    return (
+        per_customer.join(dims, on="customer_id", how="left")
+        .groupBy("city", "area")
+        .agg(F.sum("_o").alias("total_orders"), F.sum("_s").alias("_s"),
+             F.sum("_c").alias("_c"), F.sum("_l").alias("late_deliveries"))
+        .select("city", "area", "total_orders",
+                half_up_mean("_s", "_c", 1).alias("avg_delivery_minutes"),
+                "late_deliveries",
+                percent("late_deliveries", "total_orders", 1).alias("late_delivery_pct"))
+    )
+
+
+def demand_by_area(order_items: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """Units sold per (city, area), items of orders that survived cleaning only.
+
+    Units are reduced per order, then per customer, before meeting the
+    customer dimension.
+    """
+    per_order = order_items.groupBy("order_id").agg(F.sum("quantity").alias("_u"))
+    per_customer = (
+        per_order.join(orders.select("order_id", "customer_id"), on="order_id")
+        .groupBy("customer_id").agg(F.sum("_u").alias("_u"))
+    )
+    dims = customers.select("customer_id", "city", "area")
+    return (
+        per_customer.join(dims, on="customer_id", how="left")
+        .groupBy("city", "area").agg(F.sum("_u").alias("units_sold"))
+    )
+
+
+def demand_stock_ratio(health: DataFrame) -> DataFrame:
+    """Demand vs current stock per product (2 dp; NULL when stock is 0)."""
+    return health.select(
+        "product_id", "product_name", "total_stock", "total_demand",
+        half_up_ratio("total_demand", "total_stock", 2).alias("demand_to_stock"),
+    )
+
+
+def stockout_by_decile(health: DataFrame, buckets: int = DECILES) -> DataFrame:
+    """X11: stock-out rate per popularity decile (decile 1 = highest demand)."""
+    ranked = global_row_number(
+        health.select("product_id", "total_demand", "is_stock_out"),
+        [F.desc_nulls_last("total_demand"), F.asc_nulls_last("product_id")], "_rank")
+    n = ranked.agg(F.count(F.lit(1))).scalar()
+    return (
+        ranked.groupBy(ntile_of("_rank", n, buckets).alias("decile"))
+        .agg(F.count(F.lit(1)).alias("products"),
+             count_when(F.col("is_stock_out")).alias("stocked_out"))
+        .select("decile", "products", "stocked_out",
+                percent("stocked_out", "products", 2).alias("stock_out_rate_pct"))
+        .orderBy("decile")
+    )
+
+
+def missing_snapshots(inventory: DataFrame) -> DataFrame:
+    """(store, product) pairs seen before but absent from the latest snapshot.
+
+    These are the rows the gold stock metric silently drops. A pair is absent
+    on the latest date exactly when its own last date is earlier, so this is
+    one aggregate and a scalar comparison: no grid, no join.
+    """
+    latest = inventory.agg(F.max("inventory_date")).scalar()
+    return (
+        inventory.groupBy("store_id", "product_id")
+        .agg(F.max("inventory_date").alias("last_seen"))
+        .filter(F.col("last_seen") < latest)
+    )
+
+
+__all__ = [
+    "demand_concentration", "orders_by_hour", "slow_stores", "cancel_by_delay", "duplicate_keys",
+    "latest_per_pair", "weighted_aov", "delivery_by_location", "demand_by_area",
+    "demand_stock_ratio", "stockout_by_decile", "missing_snapshots",
+]

@@ -61,8 +61,46 @@ def _gold_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gate.gate(spark, gold_tables(spark, sf_dir))
 
 
-def _extension(fn) -> Query:
-    return lambda spark, sf_dir: fn(silver_tables(spark, sf_dir))
+def _extensions() -> dict[str, Query]:
+    def silver_of(spark, sf_dir):
+        return silver_tables(spark, sf_dir)
+
+    def valued(spark, sf_dir):
+        s = silver_of(spark, sf_dir)
+        return gold.orders_with_value(s["orders"], s["order_items"])
+
+    def health(spark, sf_dir):
+        return gold_tables(spark, sf_dir)["inventory_health"]
+
+    def sales(spark, sf_dir):
+        return gold.product_sales(silver_of(spark, sf_dir)["order_items"])
+
+    def x05(spark, sf_dir):
+        b = fixtures.bronze(spark, sf_dir)
+        return extensions.duplicate_keys(b["customers"], b["products"])
+
+    def x08(spark, sf_dir):
+        s = silver_of(spark, sf_dir)
+        return extensions.delivery_by_location(s["orders"], s["customers"])
+
+    def x09(spark, sf_dir):
+        s = silver_of(spark, sf_dir)
+        return extensions.demand_by_area(s["order_items"], s["orders"], s["customers"])
+
+    return {
+        "x01_demand_concentration": lambda sp, d: extensions.demand_concentration(sales(sp, d)),
+        "x02_orders_by_hour": lambda sp, d: extensions.orders_by_hour(fixtures.order_events(sp, d)),
+        "x03_slow_stores": lambda sp, d: extensions.slow_stores(silver_of(sp, d)["orders"]),
+        "x04_cancel_by_delay": lambda sp, d: extensions.cancel_by_delay(silver_of(sp, d)["orders"]),
+        "x05_duplicate_keys": x05,
+        "x06_latest_snapshot": lambda sp, d: extensions.latest_per_pair(silver_of(sp, d)["inventory"]),
+        "x07_weighted_aov": lambda sp, d: extensions.weighted_aov(valued(sp, d)),
+        "x08_delivery_by_location": x08,
+        "x09_demand_by_area": x09,
+        "x10_demand_stock_ratio": lambda sp, d: extensions.demand_stock_ratio(health(sp, d)),
+        "x11_stockout_by_decile": lambda sp, d: extensions.stockout_by_decile(health(sp, d)),
+        "x12_missing_snapshots": lambda sp, d: extensions.missing_snapshots(silver_of(sp, d)["inventory"]),
+    }
 
 
 def queries() -> dict[str, Query]:
@@ -78,6 +116,5 @@ def queries() -> dict[str, Query]:
     for name, fn in profile.CHECKS.items():
         out[name] = _check(fn)
     out["gold_gate"] = _gold_gate
-    for name, fn in extensions.EXTENSIONS.items():
-        out[name] = _extension(fn)
+    out.update(_extensions())
     return out

@@ -104,6 +104,13 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order placement times: purchase events stand in for orders' time of day."""
+    ev = _read(spark, sf_dir, "events")
+    return ev.filter(F.col("event_type") == "purchase").select(
+        F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The five bronze tables the pipeline cleans."""
     return {
