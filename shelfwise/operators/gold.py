@@ -187,18 +187,18 @@ def location_insights(orders_valued: DataFrame, customers: DataFrame) -> DataFra
     )
 
 
-def build_gold(silver: dict[str, DataFrame], persist: bool = False) -> dict[str, DataFrame]:
-    """All six gold tables from the silver ones.
+def build_gold(silver: dict[str, DataFrame], valued: DataFrame | None = None,
+               sales: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All six gold tables from the silver ones (lazy).
 
-    With ``persist`` the two shared intermediates (orders with value, product
-    sales) are cached so the item table is scanned and shuffled once per
-    intermediate instead of once per consumer; a lost cached block is
-    recomputed from lineage.
+    ``valued`` (orders with value) and ``sales`` (product sales) are the two
+    shared intermediates; pass persisted copies so the item table is scanned
+    and shuffled once per intermediate instead of once per consumer.
     """
-    valued = orders_with_value(silver["orders"], silver["order_items"])
-    sales = product_sales(silver["order_items"])
-    if persist:
-        valued, sales = valued.persist(), sales.persist()
+    if valued is None:
+        valued = orders_with_value(silver["orders"], silver["order_items"])
+    if sales is None:
+        sales = product_sales(silver["order_items"])
     return {
         "daily_orders": daily_orders(valued),
         "product_performance": product_performance(sales, silver["products"]),

@@ -128,3 +128,21 @@ def bronze_for_checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     tables["orders"] = dirty_orders(spark, sf_dir)
     tables["order_items"] = dirty_order_items(spark, sf_dir)
     return tables
+
+
+def bronze_with_all_columns(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Bronze with every declared CSV column, for staging files in tests.
+
+    Columns no metric uses are filled: signup_date NULL, order_time a
+    ``HH:MM:00`` string derived from the order key, order_item_id a unique id.
+    """
+    tables = bronze(spark, sf_dir)
+    tables["customers"] = tables["customers"].withColumn("signup_date", F.lit(None).cast("date"))
+    key = F.col("order_id")
+    order_time = F.format_string("%02d:%02d:00", (key * 7) % 24, (key * 13) % 60)
+    o = tables["orders"]
+    tables["orders"] = o.select("order_id", "customer_id", "order_date", order_time.alias("order_time"),
+                                "store_id", "delivery_time_minutes", "order_status")
+    tables["order_items"] = tables["order_items"].select(
+        F.monotonically_increasing_id().alias("order_item_id"), "*")
+    return tables
