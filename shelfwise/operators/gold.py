@@ -57,7 +57,6 @@ def daily_orders(orders_valued: DataFrame) -> DataFrame:
             "order_date", "total_orders", "cancelled_orders",
             half_up_mean("_value", "_valued", 2).alias("avg_order_value"),
         )
-        .orderBy(F.asc_nulls_last("order_date"))
     )
 
 
@@ -69,21 +68,17 @@ def product_sales(order_items: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(sales: DataFrame, products: DataFrame, ordered: bool = True) -> DataFrame:
-    """Product sales with product attributes, by revenue.
+def product_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
+    """Product sales with product attributes.
 
     Items whose product is missing keep NULL attributes (the gate's
-    not-null rule on product_name catches them). Pass ``ordered=False``
-    when the result only feeds another aggregate.
+    not-null rule on product_name catches them).
     """
     dims = products.select("product_id", "product_name", "category", "brand")
-    rows = sales.join(dims, on="product_id", how="left").select(
+    return sales.join(dims, on="product_id", how="left").select(
         "product_id", "product_name", "category", "brand", "units_sold",
         published("revenue").alias("revenue"),
     )
-    if not ordered:
-        return rows
-    return rows.orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("product_id"))
 
 
 def category_performance(product_perf: DataFrame) -> DataFrame:
@@ -98,7 +93,6 @@ def category_performance(product_perf: DataFrame) -> DataFrame:
             F.sum("units_sold").alias("units_sold"),
             published(F.sum(cents("revenue"))).alias("revenue"),
         )
-        .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category"))
     )
 
 
@@ -133,7 +127,6 @@ def inventory_health(inventory: DataFrame, sales: DataFrame, products: DataFrame
             (F.col("total_stock") < low_stock).alias("is_low_stock"),
             (F.col("total_stock") == 0).alias("is_stock_out"),
         )
-        .orderBy(F.asc_nulls_last("total_stock"), F.asc_nulls_last("product_id"))
     )
 
 
@@ -158,7 +151,6 @@ def delivery_performance(orders: DataFrame, late_after: int = LATE_DELIVERY_MINU
             "late_deliveries",
             percent("late_deliveries", "total_orders", 1).alias("late_delivery_pct"),
         )
-        .orderBy(F.desc_nulls_last("avg_delivery_minutes"), F.asc_nulls_last("store_id"))
     )
 
 
@@ -183,13 +175,30 @@ def location_insights(orders_valued: DataFrame, customers: DataFrame) -> DataFra
             F.sum("_orders").alias("total_orders"),
             published(F.sum("_value")).alias("total_revenue"),
         )
-        .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("city"), F.asc_nulls_last("area"))
     )
 
 
+# Presentation order of each published gold table, applied once at the sink
+# (the key comes last so the order is total): (column, descending).
+GOLD_ORDER = {
+    "daily_orders": [("order_date", False)],
+    "product_performance": [("revenue", True), ("product_id", False)],
+    "category_performance": [("revenue", True), ("category", False)],
+    "inventory_health": [("total_stock", False), ("product_id", False)],
+    "delivery_performance": [("avg_delivery_minutes", True), ("store_id", False)],
+    "location_insights": [("total_revenue", True), ("city", False), ("area", False)],
+}
+
+
+def presented(name: str, df: DataFrame) -> DataFrame:
+    """A gold table in its published order (NULLs last)."""
+    return df.orderBy(*[F.desc_nulls_last(c) if desc else F.asc_nulls_last(c)
+                        for c, desc in GOLD_ORDER[name]])
+
+
 def build_gold(silver: dict[str, DataFrame], valued: DataFrame | None = None,
                sales: DataFrame | None = None) -> dict[str, DataFrame]:
-    """All six gold tables from the silver ones (lazy).
+    """All six gold tables from the silver ones (lazy, unordered).
 
     ``valued`` (orders with value) and ``sales`` (product sales) are the two
     shared intermediates; pass persisted copies so the item table is scanned
@@ -202,8 +211,7 @@ def build_gold(silver: dict[str, DataFrame], valued: DataFrame | None = None,
     return {
         "daily_orders": daily_orders(valued),
         "product_performance": product_performance(sales, silver["products"]),
-        "category_performance": category_performance(
-            product_performance(sales, silver["products"], ordered=False)),
+        "category_performance": category_performance(product_performance(sales, silver["products"])),
         "inventory_health": inventory_health(silver["inventory"], sales, silver["products"]),
         "delivery_performance": delivery_performance(silver["orders"]),
         "location_insights": location_insights(valued, silver["customers"]),

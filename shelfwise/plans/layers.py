@@ -79,7 +79,8 @@ def build_gold_layer(spark: SparkSession, silver_dir: str, gold_dir: str,
     sales = gold_ops.product_sales(silver["order_items"]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         tables = gold_ops.build_gold(silver, valued=valued, sales=sales)
-        return {name: io.write_gold(df, gold_dir, name, single_file) for name, df in tables.items()}
+        return {name: io.write_gold(gold_ops.presented(name, df), gold_dir, name, single_file)
+                for name, df in tables.items()}
     finally:
         valued.unpersist()
         sales.unpersist()

@@ -3,12 +3,14 @@
 Every entry is ``(spark, sf_dir) -> DataFrame``: bronze is derived from the
 given tables by the fixture adapter, then cleaned and aggregated by the same
 functions the file pipeline uses. Nothing is collected; each query is one
-lazy plan over whole tables.
+lazy plan over whole tables, and only the tables a query depends on are
+built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,92 +31,98 @@ def publish(df: DataFrame) -> DataFrame:
     ])
 
 
-def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return silver.build_silver(fixtures.bronze(spark, sf_dir))
-
-
-def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return gold.build_gold(silver_tables(spark, sf_dir))
-
-
-def _silver(name: str) -> Query:
-    return lambda spark, sf_dir: publish(silver_tables(spark, sf_dir)[name])
+class Layers:
+    """Lazily built bronze, silver and gold tables over one test-data folder."""
 
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir = spark, sf_dir
+        self._bronze: dict[str, DataFrame] = {}
+        self._silver: dict[str, DataFrame] = {}
 
-def _gold(name: str) -> Query:
-    return lambda spark, sf_dir: gold_tables(spark, sf_dir)[name]
+    def bronze(self, name: str) -> DataFrame:
+        if name not in self._bronze:
+            self._bronze[name] = getattr(fixtures, name)(self.spark, self.sf_dir)
+        return self._bronze[name]
 
+    def silver(self, name: str) -> DataFrame:
+        if name not in self._silver:
+            self._silver[name] = silver.CLEANERS[name](self.bronze(name))
+        return self._silver[name]
 
-def _question(table: str, fn) -> Query:
-    return lambda spark, sf_dir: fn(gold_tables(spark, sf_dir)[table])
+    @cached_property
+    def valued(self) -> DataFrame:
+        return gold.orders_with_value(self.silver("orders"), self.silver("order_items"))
 
+    @cached_property
+    def sales(self) -> DataFrame:
+        return gold.product_sales(self.silver("order_items"))
 
-def _check(fn) -> Query:
-    return lambda spark, sf_dir: fn(fixtures.bronze_for_checks(spark, sf_dir))
+    def gold(self, name: str) -> DataFrame:
+        if name == "daily_orders":
+            return gold.daily_orders(self.valued)
+        if name == "product_performance":
+            return gold.product_performance(self.sales, self.silver("products"))
+        if name == "category_performance":
+            return gold.category_performance(gold.product_performance(self.sales, self.silver("products")))
+        if name == "inventory_health":
+            return gold.inventory_health(self.silver("inventory"), self.sales, self.silver("products"))
+        if name == "delivery_performance":
+            return gold.delivery_performance(self.silver("orders"))
+        if name == "location_insights":
+            return gold.location_insights(self.valued, self.silver("customers"))
+        raise KeyError(name)
 
+    def all_gold(self) -> dict[str, DataFrame]:
+        return {name: self.gold(name) for name in GOLD_NAMES}
 
-def _order_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish(gold.order_value(silver_tables(spark, sf_dir)["order_items"]))
+    def checks_input(self) -> dict[str, DataFrame]:
+        return fixtures.bronze_for_checks(self.spark, self.sf_dir)
 
 
-def _gold_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gate.gate(spark, gold_tables(spark, sf_dir))
+GOLD_NAMES = ("daily_orders", "product_performance", "category_performance",
+              "inventory_health", "delivery_performance", "location_insights")
+SILVER_NAMES = ("customers", "orders", "order_items", "products", "inventory")
 
 
-def _extensions() -> dict[str, Query]:
-    def silver_of(spark, sf_dir):
-        return silver_tables(spark, sf_dir)
-
-    def valued(spark, sf_dir):
-        s = silver_of(spark, sf_dir)
-        return gold.orders_with_value(s["orders"], s["order_items"])
-
-    def health(spark, sf_dir):
-        return gold_tables(spark, sf_dir)["inventory_health"]
-
-    def sales(spark, sf_dir):
-        return gold.product_sales(silver_of(spark, sf_dir)["order_items"])
+def silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    layers = Layers(spark, sf_dir)
+    return {name: layers.silver(name) for name in SILVER_NAMES}
 
-    def x05(spark, sf_dir):
-        b = fixtures.bronze(spark, sf_dir)
-        return extensions.duplicate_keys(b["customers"], b["products"])
 
-    def x08(spark, sf_dir):
-        s = silver_of(spark, sf_dir)
-        return extensions.delivery_by_location(s["orders"], s["customers"])
+def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return Layers(spark, sf_dir).all_gold()
 
-    def x09(spark, sf_dir):
-        s = silver_of(spark, sf_dir)
-        return extensions.demand_by_area(s["order_items"], s["orders"], s["customers"])
 
-    return {
-        "x01_demand_concentration": lambda sp, d: extensions.demand_concentration(sales(sp, d)),
-        "x02_orders_by_hour": lambda sp, d: extensions.orders_by_hour(fixtures.order_events(sp, d)),
-        "x03_slow_stores": lambda sp, d: extensions.slow_stores(silver_of(sp, d)["orders"]),
-        "x04_cancel_by_delay": lambda sp, d: extensions.cancel_by_delay(silver_of(sp, d)["orders"]),
-        "x05_duplicate_keys": x05,
-        "x06_latest_snapshot": lambda sp, d: extensions.latest_per_pair(silver_of(sp, d)["inventory"]),
-        "x07_weighted_aov": lambda sp, d: extensions.weighted_aov(valued(sp, d)),
-        "x08_delivery_by_location": x08,
-        "x09_demand_by_area": x09,
-        "x10_demand_stock_ratio": lambda sp, d: extensions.demand_stock_ratio(health(sp, d)),
-        "x11_stockout_by_decile": lambda sp, d: extensions.stockout_by_decile(health(sp, d)),
-        "x12_missing_snapshots": lambda sp, d: extensions.missing_snapshots(silver_of(sp, d)["inventory"]),
-    }
+def _q(build: Callable[[Layers], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(Layers(spark, sf_dir))
 
 
 def queries() -> dict[str, Query]:
     out: dict[str, Query] = {}
-    for name in ("customers", "orders", "order_items", "products", "inventory"):
-        out[f"silver_{name}"] = _silver(name)
-    out["order_value"] = _order_value
-    for name in ("daily_orders", "product_performance", "category_performance",
-                 "inventory_health", "delivery_performance", "location_insights"):
-        out[name] = _gold(name)
+    for name in SILVER_NAMES:
+        out[f"silver_{name}"] = _q(lambda L, n=name: publish(L.silver(n)))
+    out["order_value"] = _q(lambda L: publish(gold.order_value(L.silver("order_items"))))
+    for name in GOLD_NAMES:
+        out[name] = _q(lambda L, n=name: L.gold(n))
     for name, (table, fn) in analyst.QUESTIONS.items():
-        out[name] = _question(table, fn)
+        out[name] = _q(lambda L, t=table, f=fn: f(L.gold(t)))
     for name, fn in profile.CHECKS.items():
-        out[name] = _check(fn)
-    out["gold_gate"] = _gold_gate
-    out.update(_extensions())
+        out[name] = _q(lambda L, f=fn: f(L.checks_input()))
+    out["gold_gate"] = _q(lambda L: gate.gate(L.spark, L.all_gold()))
+    out.update({
+        "x01_demand_concentration": _q(lambda L: extensions.demand_concentration(L.sales)),
+        "x02_orders_by_hour": _q(lambda L: extensions.orders_by_hour(fixtures.order_events(L.spark, L.sf_dir))),
+        "x03_slow_stores": _q(lambda L: extensions.slow_stores(L.silver("orders"))),
+        "x04_cancel_by_delay": _q(lambda L: extensions.cancel_by_delay(L.silver("orders"))),
+        "x05_duplicate_keys": _q(lambda L: extensions.duplicate_keys(L.bronze("customers"), L.bronze("products"))),
+        "x06_latest_snapshot": _q(lambda L: extensions.latest_per_pair(L.silver("inventory"))),
+        "x07_weighted_aov": _q(lambda L: extensions.weighted_aov(L.valued)),
+        "x08_delivery_by_location": _q(
+            lambda L: extensions.delivery_by_location(L.silver("orders"), L.silver("customers"))),
+        "x09_demand_by_area": _q(lambda L: extensions.demand_by_area(
+            L.silver("order_items"), L.silver("orders"), L.silver("customers"))),
+        "x10_demand_stock_ratio": _q(lambda L: extensions.demand_stock_ratio(L.gold("inventory_health"))),
+        "x11_stockout_by_decile": _q(lambda L: extensions.stockout_by_decile(L.gold("inventory_health"))),
+        "x12_missing_snapshots": _q(lambda L: extensions.missing_snapshots(L.silver("inventory"))),
+    })
     return out

@@ -10,10 +10,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+# Footer-inferred schema per file path: inference costs a footer read on
+# every call, so each path is inferred once per process and then declared.
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def _null_when(cond: Column, value: Column) -> Column:
