@@ -38,7 +38,8 @@ def demand_concentration(sales: DataFrame, top_pct: int = TOP_SHARE_PCT) -> Data
     return (
         ranked.groupBy(F.when(top, F.lit(f"top_{top_pct}pct")).otherwise(F.lit("other")).alias("segment"))
         .agg(F.count(F.lit(1)).alias("products"), F.sum("units_sold").alias("units"))
-        .select("segment", "products", "units", percent("units", total, 2).alias("units_share_pct"))
+        .withColumn("_total", total)
+        .select("segment", "products", "units", percent("units", "_total", 2).alias("units_share_pct"))
     )
 
 
@@ -56,7 +57,8 @@ def orders_by_hour(orders: DataFrame, time_col: str = "order_time") -> DataFrame
     total = hourly.agg(F.count(F.lit(1))).scalar()
     return (
         hourly.groupBy("hour").agg(F.count(F.lit(1)).alias("orders"))
-        .select("hour", "orders", percent("orders", total, 1).alias("pct_of_orders"))
+        .withColumn("_total", total)
+        .select("hour", "orders", percent("orders", "_total", 1).alias("pct_of_orders"))
         .orderBy("hour")
     )
 
@@ -190,9 +192,9 @@ def stockout_by_decile(health: DataFrame, buckets: int = DECILES) -> DataFrame:
     ranked = global_row_number(
         health.select("product_id", "total_demand", "is_stock_out"),
         [F.desc_nulls_last("total_demand"), F.asc_nulls_last("product_id")], "_rank")
-    n = ranked.agg(F.count(F.lit(1))).scalar()
+    counted = ranked.withColumn("_n", ranked.agg(F.count(F.lit(1))).scalar())
     return (
-        ranked.groupBy(ntile_of("_rank", n, buckets).alias("decile"))
+        counted.groupBy(ntile_of("_rank", F.col("_n"), buckets).alias("decile"))
         .agg(F.count(F.lit(1)).alias("products"),
              count_when(F.col("is_stock_out")).alias("stocked_out"))
         .select("decile", "products", "stocked_out",

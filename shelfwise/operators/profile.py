@@ -90,7 +90,8 @@ def status_distribution(tables: dict[str, DataFrame]) -> DataFrame:
         orders.filter(F.col("order_status").isNotNull())
         .groupBy("order_status")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("order_status", "n", percent("n", total, 1).alias("pct"))
+        .withColumn("_total", total)
+        .select("order_status", "n", percent("n", "_total", 1).alias("pct"))
         .orderBy(F.desc("n"), F.asc("order_status"))
     )
 

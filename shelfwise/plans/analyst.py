@@ -58,9 +58,9 @@ def category_share(categories: DataFrame) -> DataFrame:
     """
     total = categories.agg(F.sum(cents("revenue"))).scalar()
     return (
-        categories.select(
+        categories.withColumn("_total", total).select(
             "category", "units_sold", "revenue",
-            percent(cents("revenue"), total, 1).alias("pct_of_total_revenue"),
+            percent(cents("revenue"), "_total", 1).alias("pct_of_total_revenue"),
         )
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category"))
     )

@@ -1,0 +1,5 @@
+"""Incremental (Structured Streaming) ingest of the append-only silver tables."""
+
+from shelfwise.streaming.ingest import APPEND_ONLY, ingest_silver, ingest_table
+
+__all__ = ["APPEND_ONLY", "ingest_silver", "ingest_table"]
