@@ -8,6 +8,8 @@ work grows with them.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,23 +125,45 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))
 
 
+class LazyTables(Mapping):
+    """Read-only mapping of table name -> DataFrame, each built on first access."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The five bronze tables the pipeline cleans."""
-    return {
-        "customers": customers(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "orders": orders(spark, sf_dir),
-        "order_items": order_items(spark, sf_dir),
-        "inventory": inventory(spark, sf_dir),
-    }
+    """The five bronze tables the pipeline cleans (built on first access)."""
+    return LazyTables({
+        "customers": lambda: customers(spark, sf_dir),
+        "products": lambda: products(spark, sf_dir),
+        "orders": lambda: orders(spark, sf_dir),
+        "order_items": lambda: order_items(spark, sf_dir),
+        "inventory": lambda: inventory(spark, sf_dir),
+    })
 
 
 def bronze_for_checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Bronze with referential dirt planted, for the profiling checks."""
-    tables = bronze(spark, sf_dir)
-    tables["orders"] = dirty_orders(spark, sf_dir)
-    tables["order_items"] = dirty_order_items(spark, sf_dir)
-    return tables
+    return LazyTables({
+        "customers": lambda: customers(spark, sf_dir),
+        "products": lambda: products(spark, sf_dir),
+        "orders": lambda: dirty_orders(spark, sf_dir),
+        "order_items": lambda: dirty_order_items(spark, sf_dir),
+        "inventory": lambda: inventory(spark, sf_dir),
+    })
 
 
 def bronze_with_all_columns(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -148,7 +172,7 @@ def bronze_with_all_columns(spark: SparkSession, sf_dir: str) -> dict[str, DataF
     Columns no metric uses are filled: signup_date NULL, order_time a
     ``HH:MM:00`` string derived from the order key, order_item_id a unique id.
     """
-    tables = bronze(spark, sf_dir)
+    tables = dict(bronze(spark, sf_dir))
     tables["customers"] = tables["customers"].withColumn("signup_date", F.lit(None).cast("date"))
     key = F.col("order_id")
     order_time = F.format_string("%02d:%02d:00", (key * 7) % 24, (key * 13) % 60)

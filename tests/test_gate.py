@@ -21,7 +21,7 @@ def test_gate_passes_on_fixture(spark):
 
 
 def test_gate_catches_orphan_product(spark):
-    bronze = fixtures.bronze(spark, SF_SMALL)
+    bronze = dict(fixtures.bronze(spark, SF_SMALL))
     bronze["order_items"] = fixtures.dirty_order_items(spark, SF_SMALL)
     g = gold.build_gold(silver.build_silver(bronze))
     failed = _failed(gate.gate(spark, g))
