@@ -6,7 +6,17 @@ from __future__ import annotations
 import argparse
 import sys
 
-from shelfwise.session import build_session
+from shelfwise.session import build_session, scale_settings
+
+
+def _input_bytes(path: str) -> int:
+    """Bytes under a local bronze folder (0 for remote paths: defaults apply)."""
+    import os
+
+    if "://" in path and not path.startswith("file:"):
+        return 0
+    root = path.removeprefix("file:")
+    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs)
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -17,12 +27,17 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("out_dir")
     run.add_argument("--single-file-gold", action="store_true")
     run.add_argument("--master", default=None)
+    run.add_argument("--cores", type=int, default=0,
+                     help="total executor cores; sizes shuffle partitions to the bronze volume")
     ask = sub.add_parser("ask", help="answer the analyst questions over gold")
     ask.add_argument("gold_dir")
     ask.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
-    spark = build_session(master=args.master)
+    extra = None
+    if args.cmd == "run" and args.cores:
+        extra = scale_settings(_input_bytes(args.bronze_dir), args.cores)
+    spark = build_session(master=args.master, extra=extra)
     from shelfwise.plans import layers
 
     if args.cmd == "run":

@@ -2,31 +2,55 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every job relies on. AQE turns the broadcast decision into a
-# runtime, size-checked one (a side is broadcast only when its measured
-# shuffle output is under spark.sql.adaptive.autoBroadcastJoinThreshold) and
-# splits skewed sort-merge join partitions.
+# Settings every job relies on.
+# * Broadcasts are decided at run time only: the plan-time estimate
+#   (``spark.sql.autoBroadcastJoinThreshold``) is switched off, and AQE
+#   broadcasts a join side only when its *measured* shuffle output is under
+#   ``spark.sql.adaptive.autoBroadcastJoinThreshold``. Anything larger stays
+#   a sort-merge join, whose skewed partitions AQE splits.
+# * AQE coalesces small shuffle partitions toward the advisory size.
 SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
 }
 
+SHUFFLE_PARTITION_BYTES = 128 * 1024 ** 2
 
-def build_session(master: str = "local[*]", app_name: str = "shelfwise",
+
+def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
+    """Partition sizing for a run over ``input_bytes`` of input on ``total_cores``.
+
+    The initial shuffle fan-out aims at ~128 MB per partition (AQE coalesces
+    down from there), never below two waves of the cluster's cores; file
+    splits stay at 128 MB so a scan task fits comfortably in executor memory.
+    """
+    partitions = max(2 * total_cores, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+    }
+
+
+def build_session(master: str | None = "local[*]", app_name: str = "shelfwise",
                   shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """Get or create a session with the pipeline's defaults.
 
-    On a cluster pass ``master=None`` and let spark-submit decide; size
-    ``shuffle_partitions`` to the data (roughly input bytes / 128 MB).
+    On a cluster pass ``master=None`` and let spark-submit decide; pass
+    ``extra=scale_settings(...)`` to size partitions to the data.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:

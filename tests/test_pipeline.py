@@ -56,3 +56,30 @@ def test_gate_fails_on_missing_gold(spark, workdir):
         io.write_table(g[name], workdir, name)
     with pytest.raises(GateFailure, match="daily_orders: exists"):
         layers.validate_gold(spark, workdir)
+
+
+def test_single_file_export_is_bounded(spark, workdir):
+    g = gold_tables(spark, SF_SMALL)
+    assert io.write_gold(g["daily_orders"], workdir, "small", single_file=True) is True
+    assert len(glob.glob(f"{workdir}/small.parquet/part-*")) == 1
+    # over the bound: written distributed, nothing funnelled through one task
+    assert io.write_gold(g["daily_orders"], workdir, "big", single_file=True, max_rows=10) is False
+    assert io.read_layer(spark, workdir, "big").count() == g["daily_orders"].count()
+
+
+def test_cli_runs_layers(spark, workdir):
+    from shelfwise.__main__ import main
+
+    bronze_dir = f"{workdir}/bronze"
+    for name, df in fixtures.bronze_with_all_columns(spark, SF_SMALL).items():
+        io.write_bronze_csv(df, bronze_dir, name)
+    assert main(["run", bronze_dir, f"{workdir}/out", "--cores", "4"]) == 0
+    assert io.read_layer(spark, f"{workdir}/out/gold", "daily_orders").count() == 1091
+
+
+def test_scale_settings():
+    from shelfwise.session import scale_settings
+
+    big = scale_settings(100 * 1024 ** 4, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) == 819200
+    assert scale_settings(10 ** 6, 8)["spark.sql.shuffle.partitions"] == "16"
