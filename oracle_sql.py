@@ -376,7 +376,7 @@ SELECT product_id, CAST(COUNT(*) AS BIGINT) AS stores, CAST(SUM(s) AS BIGINT) AS
 FROM (SELECT store_id, product_id, SUM(stock_quantity) AS s
       FROM (SELECT *, rank() OVER (PARTITION BY store_id, product_id
                                    ORDER BY inventory_date DESC NULLS LAST) AS rk
-            FROM s_inventory) r
+            FROM s_inventory WHERE inventory_date IS NOT NULL) r
       WHERE rk = 1 GROUP BY store_id, product_id) p
 GROUP BY product_id""",
     "x07_weighted_aov": """

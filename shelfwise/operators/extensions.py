@@ -119,15 +119,17 @@ def latest_per_pair(inventory: DataFrame) -> DataFrame:
 
     All rows of a pair on its latest date count (a pair can repeat within a
     snapshot). Two aggregates, both with map-side combine: stock per
-    (pair, date), then the latest (date, stock) per pair via ``max(struct)``.
+    (pair, date), then the latest date's stock per pair via ``max_by``
+    (fixed-width buffers, so it stays a hash aggregate). Rows without a
+    snapshot date never count as the latest.
     """
     per_day = inventory.groupBy("store_id", "product_id", "inventory_date").agg(
         F.sum("stock_quantity").alias("_stock"))
     per_pair = per_day.groupBy("store_id", "product_id").agg(
-        F.max(F.struct("inventory_date", "_stock")).alias("_latest"))
+        F.max_by("_stock", "inventory_date").alias("_stock"))
     return per_pair.groupBy("product_id").agg(
         F.count(F.lit(1)).alias("stores"),
-        F.sum("_latest._stock").alias("total_stock"),
+        F.sum("_stock").alias("total_stock"),
     )
 
 
