@@ -21,18 +21,21 @@ def table_path(base: str, name: str, ext: str = "parquet") -> str:
     return f"{base.rstrip('/')}/{name}.{ext}"
 
 
-def read_bronze_csv(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A bronze CSV with header, read with its declared schema (no inference pass)."""
-    return (
-        spark.read.schema(BRONZE[name])
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .csv(table_path(base, name, "csv"))
-    )
-
-
-def read_bronze(spark: SparkSession, base: str) -> dict[str, DataFrame]:
-    return {name: read_bronze_csv(spark, base, name) for name in BRONZE}
+def read_bronze_csv(spark: SparkSession, base: str, name: str,
+                    null_value: str | None = None) -> DataFrame:
+    """A bronze CSV with header, read with its declared schema (no inference pass).
+
+    Only empty fields are NULL by default; pass ``null_value`` (for example
+    ``"NA"``) when the producer writes missing values as a marker.
+    """
+    reader = spark.read.schema(BRONZE[name]).option("header", True).option("mode", "PERMISSIVE")
+    if null_value is not None:
+        reader = reader.option("nullValue", null_value)
+    return reader.csv(table_path(base, name, "csv"))
+
+
+def read_bronze(spark: SparkSession, base: str, null_value: str | None = None) -> dict[str, DataFrame]:
+    return {name: read_bronze_csv(spark, base, name, null_value) for name in BRONZE}
 
 
 def write_bronze_csv(df: DataFrame, base: str, name: str) -> None:

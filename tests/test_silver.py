@@ -69,3 +69,25 @@ def test_csv_store_id_written_as_float(spark, workdir):
     out = silver.clean_orders(raw).collect()
     assert [(r.order_id, r.store_id, r.delivery_time_minutes, r.order_time) for r in out] == [
         (1, 3, 40, "18:30:00")]
+
+
+def test_csv_null_marker(spark, workdir):
+    os.makedirs(f"{workdir}/customers.csv")
+    with open(f"{workdir}/customers.csv/part-0.csv", "w") as fh:
+        fh.write("customer_id,customer_name,city,area,signup_date\n")
+        fh.write("1,a,Pune,NA,2024-01-01\n2,b,Pune,,2024-01-02\n")
+    plain = io.read_bronze_csv(spark, workdir, "customers")
+    assert sorted((r.customer_id, r.area) for r in plain.collect()) == [(1, "NA"), (2, None)]
+    marked = io.read_bronze_csv(spark, workdir, "customers", null_value="NA")
+    assert sorted((r.customer_id, r.area) for r in silver.clean_customers(marked).collect()) == [
+        (1, "Unknown"), (2, "Unknown")]
+
+
+def test_orders_by_hour_from_string_times(spark):
+    from shelfwise.operators.extensions import orders_by_hour
+
+    rows = [(1, 1, D, "18:30:00", 1.0, 10, "Delivered"), (2, 1, D, "18:05:00", 1.0, 10, "Delivered"),
+            (3, 1, D, "07:00:00", 1.0, 10, "Cancelled"), (4, 1, D, None, 1.0, 10, "Delivered")]
+    df = spark.createDataFrame(rows, BRONZE["orders"])
+    got = [(r.hour, r.orders, r.pct_of_orders) for r in orders_by_hour(df).collect()]
+    assert got == [(7, 1, 33.3), (18, 2, 66.7)]
