@@ -29,6 +29,9 @@ def test_run_layers_end_to_end(spark, workdir):
     assert len(summary.gate_rules) == 35
 
     paths = layers.LayerPaths(out)
+    # bronze is parsed once into a typed Parquet copy that checks and cleaning read
+    staged = io.read_layer(spark, paths.staged, "orders")
+    assert dict(staged.dtypes)["store_id"] == "double" and staged.count() == 1500
     # inventory is partitioned by snapshot date
     assert glob.glob(f"{paths.silver}/inventory.parquet/inventory_date=*")
     expected = gold_tables(spark, SF_SMALL)
