@@ -4,7 +4,6 @@ A skewed copy of the sf0.001 tables is derived with DuckDB; every registered
 query must still match its oracle on it exactly.
 """
 
-import os
 import tempfile
 
 import duckdb
