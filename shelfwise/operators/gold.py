@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from shelfwise.functions import count_when, half_up_mean, line_total, percent, published
 from shelfwise.functions.rounding import cents
 
+# Stock below this (summed over stores) is low; deliveries
+# over this many minutes are late.
 LOW_STOCK_THRESHOLD = 10
 LATE_DELIVERY_MINUTES = 45
 

@@ -24,6 +24,8 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
+    # reliable checkpoints (global ranking) are removed once unreferenced
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 ** 2
