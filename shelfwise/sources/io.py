@@ -25,10 +25,18 @@ def read_bronze_csv(spark: SparkSession, base: str, name: str,
                     null_value: str | None = None) -> DataFrame:
     """A bronze CSV with header, read with its declared schema (no inference pass).
 
-    Only empty fields are NULL by default; pass ``null_value`` (for example
-    ``"NA"``) when the producer writes missing values as a marker.
+    The header is checked against the declared column names
+    (``enforceSchema`` off), so a file with reordered or renamed columns
+    fails instead of being read by position. Only empty fields are NULL by
+    default; pass ``null_value`` (for example ``"NA"``) when the producer
+    writes missing values as a marker.
     """
-    reader = spark.read.schema(BRONZE[name]).option("header", True).option("mode", "PERMISSIVE")
+    reader = (
+        spark.read.schema(BRONZE[name])
+        .option("header", True)
+        .option("enforceSchema", False)
+        .option("mode", "PERMISSIVE")
+    )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
     return reader.csv(table_path(base, name, "csv"))

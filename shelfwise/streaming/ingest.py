@@ -49,6 +49,7 @@ def ingest_table(spark: SparkSession, bronze_dir: str, silver_dir: str, name: st
     raw = (
         spark.readStream.schema(BRONZE[name])
         .option("header", True)
+        .option("enforceSchema", False)
         .csv(table_path(bronze_dir, name, "csv"))
     )
     writer = (

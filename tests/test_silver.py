@@ -91,3 +91,14 @@ def test_orders_by_hour_from_string_times(spark):
     df = spark.createDataFrame(rows, BRONZE["orders"])
     got = [(r.hour, r.orders, r.pct_of_orders) for r in orders_by_hour(df).collect()]
     assert got == [(7, 1, 33.3), (18, 2, 66.7)]
+
+
+def test_csv_header_is_checked(spark, workdir):
+    import pytest
+
+    os.makedirs(f"{workdir}/products.csv")
+    with open(f"{workdir}/products.csv/part-0.csv", "w") as fh:
+        fh.write("product_id,category,product_name,brand,price\n")  # two columns swapped
+        fh.write("1,fruit,apple,b1,1.00\n")
+    with pytest.raises(Exception, match="(?i)header|CSV"):
+        io.read_bronze_csv(spark, workdir, "products").collect()
