@@ -31,6 +31,7 @@ def main(argv: list[str] | None = None) -> int:
                      help="total executor cores; sizes shuffle partitions to the bronze volume")
     ask = sub.add_parser("ask", help="answer the analyst questions over gold")
     ask.add_argument("gold_dir")
+    ask.add_argument("--sql", action="store_true", help="run the Spark SQL form of the questions")
     ask.add_argument("--master", default=None)
     args = parser.parse_args(argv)
 
@@ -46,7 +47,12 @@ def main(argv: list[str] | None = None) -> int:
             print(report)
         print(f"gate: {len(summary.gate_rules)} rules passed")
     else:
-        for name, df in layers.answer_questions(spark, args.gold_dir).items():
+        answers = layers.answer_questions(spark, args.gold_dir)  # also registers the gold views
+        if args.sql:
+            from shelfwise.plans import analyst_sql
+
+            answers = analyst_sql.ask_all(spark)
+        for name, df in answers.items():
             print(f"== {name}")
             df.show(truncate=False)
     return 0

@@ -86,3 +86,14 @@ def test_scale_settings():
     big = scale_settings(100 * 1024 ** 4, 8000)
     assert int(big["spark.sql.shuffle.partitions"]) == 819200
     assert scale_settings(10 ** 6, 8)["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_cli_ask_sql(spark, workdir, capsys):
+    from shelfwise.__main__ import main
+
+    g = gold_tables(spark, SF_SMALL)
+    for name in GOLD_TABLES:
+        io.write_table(g[name], workdir, name)
+    assert main(["ask", workdir, "--sql"]) == 0
+    out = capsys.readouterr().out
+    assert "== q10_city_revenue" in out and "total_revenue" in out
