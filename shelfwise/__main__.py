@@ -29,6 +29,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--master", default=None)
     run.add_argument("--cores", type=int, default=0,
                      help="total executor cores; sizes shuffle partitions to the bronze volume")
+    extras = sub.add_parser("extras", help="write the extension metrics of a finished run")
+    extras.add_argument("out_dir")
+    extras.add_argument("--master", default=None)
     ask = sub.add_parser("ask", help="answer the analyst questions over gold")
     ask.add_argument("gold_dir")
     ask.add_argument("--sql", action="store_true", help="run the Spark SQL form of the questions")
@@ -46,6 +49,9 @@ def main(argv: list[str] | None = None) -> int:
         for report in summary.silver_rows:
             print(report)
         print(f"gate: {len(summary.gate_rules)} rules passed")
+    elif args.cmd == "extras":
+        for name in layers.build_extensions(spark, args.out_dir):
+            print(f"wrote {name}")
     else:
         answers = layers.answer_questions(spark, args.gold_dir)  # also registers the gold views
         if args.sql:

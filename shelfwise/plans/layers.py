@@ -18,6 +18,7 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.operators import extensions as ext
 from shelfwise.operators import gate as gate_ops
 from shelfwise.operators import gold as gold_ops
 from shelfwise.operators.profile import profile_bronze
@@ -49,6 +50,10 @@ class LayerPaths:
     def reports(self) -> str:
         return f"{self.base.rstrip('/')}/reports"
 
+    @property
+    def extensions(self) -> str:
+        return f"{self.base.rstrip('/')}/extensions"
+
 
 @dataclass
 class RunSummary:
@@ -134,3 +139,36 @@ def answer_questions(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]
     gold = {name: io.read_layer(spark, gold_dir, name) for name in GOLD_TABLES}
     io.register_views(spark, gold)
     return answer_all(gold)
+
+
+def extension_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """X1-X12 over a finished layer run (staged bronze, silver and gold), lazily."""
+    paths = LayerPaths(out_dir)
+    bronze = read_staged(spark, paths.staged)
+    silver = {name: io.read_layer(spark, paths.silver, name) for name in TABLES}
+    health = io.read_layer(spark, paths.gold, "inventory_health")
+    sales = gold_ops.product_sales(silver["order_items"])
+    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"])
+    return {
+        "x01_demand_concentration": ext.demand_concentration(sales),
+        "x02_orders_by_hour": ext.orders_by_hour(silver["orders"]),
+        "x03_slow_stores": ext.slow_stores(silver["orders"]),
+        "x04_cancel_by_delay": ext.cancel_by_delay(silver["orders"]),
+        "x05_duplicate_keys": ext.duplicate_keys(bronze["customers"], bronze["products"]),
+        "x06_latest_snapshot": ext.latest_per_pair(silver["inventory"]),
+        "x07_weighted_aov": ext.weighted_aov(valued),
+        "x08_delivery_by_location": ext.delivery_by_location(silver["orders"], silver["customers"]),
+        "x09_demand_by_area": ext.demand_by_area(silver["order_items"], silver["orders"], silver["customers"]),
+        "x10_demand_stock_ratio": ext.demand_stock_ratio(health),
+        "x11_stockout_by_decile": ext.stockout_by_decile(health),
+        "x12_missing_snapshots": ext.missing_snapshots(silver["inventory"]),
+    }
+
+
+def build_extensions(spark: SparkSession, out_dir: str) -> list[str]:
+    """Write every extension table under ``<out_dir>/extensions``; returns their names."""
+    paths = LayerPaths(out_dir)
+    tables = extension_tables(spark, out_dir)
+    for name, df in tables.items():
+        io.write_table(df, paths.extensions, name)
+    return list(tables)

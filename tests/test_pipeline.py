@@ -48,6 +48,16 @@ def test_run_layers_end_to_end(spark, workdir):
     # the gold tables are also usable from SQL
     assert spark.sql("SELECT COUNT(*) FROM daily_orders").first()[0] == expected["daily_orders"].count()
 
+    # extensions over the written layers equal the registry's (x02 reads different time sources)
+    written = layers.build_extensions(spark, out)
+    assert len(written) == 12
+    for name in written:
+        got = io.read_layer(spark, paths.extensions, name)
+        if name == "x02_orders_by_hour":
+            assert got.count() == 24 and got.agg({"orders": "sum"}).first()[0] == 1497
+            continue
+        assert _same(reg[name](spark, SF_SMALL), got), name
+
 
 def test_gate_fails_on_missing_gold(spark, workdir):
     import pytest
