@@ -417,10 +417,10 @@ GROUP BY decile""",
 SELECT p.store_id, p.product_id, p.last_seen
 FROM (SELECT store_id, product_id, MAX(inventory_date) AS last_seen FROM s_inventory
       GROUP BY store_id, product_id) p
-WHERE NOT EXISTS (
+WHERE p.last_seen IS NOT NULL AND NOT EXISTS (
   SELECT 1 FROM s_inventory l
   WHERE l.inventory_date = (SELECT MAX(inventory_date) FROM s_inventory)
-    AND l.store_id = p.store_id AND l.product_id = p.product_id)""",
+    AND l.store_id IS NOT DISTINCT FROM p.store_id AND l.product_id IS NOT DISTINCT FROM p.product_id)""",
 }
 
 

@@ -123,7 +123,8 @@ def latest_per_pair(inventory: DataFrame) -> DataFrame:
     (fixed-width buffers, so it stays a hash aggregate). Rows without a
     snapshot date never count as the latest.
     """
-    per_day = inventory.groupBy("store_id", "product_id", "inventory_date").agg(
+    dated = inventory.filter(F.col("inventory_date").isNotNull())
+    per_day = dated.groupBy("store_id", "product_id", "inventory_date").agg(
         F.sum("stock_quantity").alias("_stock"))
     per_pair = per_day.groupBy("store_id", "product_id").agg(
         F.max_by("_stock", "inventory_date").alias("_stock"))
@@ -209,8 +210,9 @@ def missing_snapshots(inventory: DataFrame) -> DataFrame:
     """(store, product) pairs seen before but absent from the latest snapshot.
 
     These are the rows the gold stock metric silently drops. A pair is absent
-    on the latest date exactly when its own last date is earlier, so this is
-    one aggregate and a scalar comparison: no grid, no join.
+    on the latest date exactly when its own last (dated) snapshot is earlier,
+    so this is one aggregate and a scalar comparison: no grid, no join. NULL
+    keys form pairs of their own; rows without a date are not snapshots.
     """
     latest = inventory.agg(F.max("inventory_date")).scalar()
     return (
