@@ -1,5 +1,8 @@
 """Independent DuckDB SQL for every registered query (the correctness oracle).
 
+Conditional counts are written ``COUNT(*) FILTER (WHERE ...)``: DuckDB's
+``COUNT_IF`` returns NULL rather than 0 over no rows.
+
 Written directly from the metric definitions, not from the Spark code: the
 fixture mapping is spelled out as CTEs over the driver's views, joins are
 row-level (the Spark side pre-aggregates), and rounding uses integer
@@ -93,7 +96,7 @@ orders_valued AS (
 g_daily_orders AS (
   SELECT order_date,
          CAST(COUNT(order_id) AS BIGINT) AS total_orders,
-         CAST(COUNT_IF(order_status = 'Cancelled') AS BIGINT) AS cancelled_orders,
+         CAST(COUNT(*) FILTER (WHERE order_status = 'Cancelled') AS BIGINT) AS cancelled_orders,
          CAST((2 * CAST(SUM(order_value * 100) AS HUGEINT) + COUNT(order_value))
               // NULLIF(2 * COUNT(order_value), 0) AS DOUBLE) / 100 AS avg_order_value
   FROM orders_valued GROUP BY order_date
@@ -128,7 +131,7 @@ g_inventory_health AS (
 store_stats AS (
   SELECT store_id, COUNT(order_id) AS total_orders,
          CAST(SUM(delivery_time_minutes) AS HUGEINT) AS s, COUNT(delivery_time_minutes) AS c,
-         COUNT_IF(delivery_time_minutes > 45) AS late
+         COUNT(*) FILTER (WHERE delivery_time_minutes > 45) AS late
   FROM s_orders GROUP BY store_id
 ),
 g_delivery_performance AS (
@@ -201,8 +204,8 @@ SELECT category, units_sold, revenue,
 FROM g_category_performance""",
     "q05_stockout_rate": f"""
 SELECT CAST(COUNT(*) AS BIGINT) AS total_products,
-       CAST(COUNT_IF(is_stock_out) AS BIGINT) AS stocked_out_products,
-       {_pct('COUNT_IF(is_stock_out)', 'COUNT(*)', 2)} AS stock_out_rate_pct
+       CAST(COUNT(*) FILTER (WHERE is_stock_out) AS BIGINT) AS stocked_out_products,
+       {_pct('COUNT(*) FILTER (WHERE is_stock_out)', 'COUNT(*)', 2)} AS stock_out_rate_pct
 FROM g_inventory_health""",
     "q06_urgent_restock": """
 SELECT product_id, product_name, category, total_stock, total_demand
@@ -245,7 +248,7 @@ def _row_counts() -> str:
 
 
 def _nulls() -> str:
-    parts = [f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT_IF({c} IS NULL) AS n, COUNT(*) AS r FROM {v}"
+    parts = [f"SELECT '{n}' AS table_name, '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS n, COUNT(*) AS r FROM {v}"
              for n, (v, cols) in CHECK_TABLES.items() for c in cols]
     return ("SELECT table_name, column_name, CAST(n AS BIGINT) AS n, " + _pct("n", "r", 2) + " AS pct FROM ("
             + " UNION ALL ".join(parts) + ") t WHERE n > 0")
@@ -288,9 +291,9 @@ GROUP BY CAST(store_id AS INT)
 ORDER BY AVG(delivery_time_minutes) DESC, store_id LIMIT 5""",
     "check_duplicates": _duplicates(),
     "check_invalid": """
-SELECT 'negative_delivery_time' AS rule, CAST(COUNT_IF(delivery_time_minutes < 0) AS BIGINT) AS n FROM x_orders
-UNION ALL SELECT 'negative_unit_price', CAST(COUNT_IF(unit_price < 0) AS BIGINT) FROM x_order_items
-UNION ALL SELECT 'negative_stock_quantity', CAST(COUNT_IF(stock_quantity < 0) AS BIGINT) FROM b_inventory""",
+SELECT 'negative_delivery_time' AS rule, CAST(COUNT(*) FILTER (WHERE delivery_time_minutes < 0) AS BIGINT) AS n FROM x_orders
+UNION ALL SELECT 'negative_unit_price', CAST(COUNT(*) FILTER (WHERE unit_price < 0) AS BIGINT) FROM x_order_items
+UNION ALL SELECT 'negative_stock_quantity', CAST(COUNT(*) FILTER (WHERE stock_quantity < 0) AS BIGINT) FROM b_inventory""",
 }
 
 # --- gold gate ---------------------------------------------------------------
@@ -313,10 +316,10 @@ def _gate() -> str:
                      f"{n} AS n_rows, 0 AS bad_rows")
         parts.append(f"SELECT '{t}', 'not_empty', NULL, {n}, CASE WHEN {n} = 0 THEN 1 ELSE 0 END")
         for c in keys:
-            parts.append(f"SELECT '{t}', 'not_null', '{c}', COUNT(*), COUNT_IF({c} IS NULL) FROM {src} "
+            parts.append(f"SELECT '{t}', 'not_null', '{c}', COUNT(*), COUNT(*) FILTER (WHERE {c} IS NULL) FROM {src} "
                          f"HAVING COUNT(*) > 0")
         for c in nums:
-            parts.append(f"SELECT '{t}', 'non_negative', '{c}', COUNT(*), COUNT_IF({c} < 0) FROM {src} "
+            parts.append(f"SELECT '{t}', 'non_negative', '{c}', COUNT(*), COUNT(*) FILTER (WHERE {c} < 0) FROM {src} "
                          f"HAVING COUNT(*) > 0")
     return ("SELECT table_name, rule, column_name, CAST(n_rows AS BIGINT) AS n_rows, "
             "CAST(bad_rows AS BIGINT) AS bad_rows, bad_rows = 0 AS passed FROM ("
@@ -351,8 +354,8 @@ WHERE m > (SELECT AVG(m) + 2.0 * STDDEV_SAMP(m) FROM
               FROM s_orders GROUP BY store_id) x)""",
     "x04_cancel_by_delay": f"""
 SELECT delay_band, CAST(COUNT(*) AS BIGINT) AS orders,
-       CAST(COUNT_IF(order_status = 'Cancelled') AS BIGINT) AS cancelled,
-       {_pct("COUNT_IF(order_status = 'Cancelled')", 'COUNT(*)', 2)} AS cancel_rate_pct
+       CAST(COUNT(*) FILTER (WHERE order_status = 'Cancelled') AS BIGINT) AS cancelled,
+       {_pct("COUNT(*) FILTER (WHERE order_status = 'Cancelled')", 'COUNT(*)', 2)} AS cancel_rate_pct
 FROM (SELECT CASE WHEN delivery_time_minutes > 55 THEN '>55' ELSE '<=55' END AS delay_band, order_status
       FROM s_orders WHERE delivery_time_minutes IS NOT NULL) b
 GROUP BY delay_band""",
@@ -393,7 +396,7 @@ SELECT city, area, CAST(total_orders AS BIGINT) AS total_orders,
          AS late_delivery_pct
 FROM (SELECT c.city, c.area, COUNT(o.order_id) AS total_orders,
              CAST(SUM(o.delivery_time_minutes) AS HUGEINT) AS s, COUNT(o.delivery_time_minutes) AS c,
-             COUNT_IF(o.delivery_time_minutes > 45) AS late
+             COUNT(*) FILTER (WHERE o.delivery_time_minutes > 45) AS late
       FROM s_orders o LEFT JOIN s_customers c ON o.customer_id = c.customer_id
       GROUP BY c.city, c.area) t""",
     "x09_demand_by_area": """
@@ -407,8 +410,8 @@ SELECT product_id, product_name, total_stock, total_demand,
          AS demand_to_stock
 FROM g_inventory_health""",
     "x11_stockout_by_decile": f"""
-SELECT decile, CAST(COUNT(*) AS BIGINT) AS products, CAST(COUNT_IF(is_stock_out) AS BIGINT) AS stocked_out,
-       {_pct('COUNT_IF(is_stock_out)', 'COUNT(*)', 2)} AS stock_out_rate_pct
+SELECT decile, CAST(COUNT(*) AS BIGINT) AS products, CAST(COUNT(*) FILTER (WHERE is_stock_out) AS BIGINT) AS stocked_out,
+       {_pct('COUNT(*) FILTER (WHERE is_stock_out)', 'COUNT(*)', 2)} AS stock_out_rate_pct
 FROM (SELECT is_stock_out,
              CAST(ntile(10) OVER (ORDER BY total_demand DESC NULLS LAST, product_id) AS INT) AS decile
       FROM g_inventory_health) r

@@ -36,12 +36,17 @@ def row_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """B1: rows per table plus a TOTAL row.
 
     The tables are tagged and rolled up in one aggregate; column pruning
-    leaves the scans reading no data columns.
+    leaves the scans reading no data columns. One zero-weight marker row per
+    table keeps an empty table in the report (a group needs a row).
     """
-    tagged = _union([df.select(F.lit(name).alias("table_name")) for name, df in tables.items()])
+    spark = next(iter(tables.values())).sparkSession
+    tagged = _union(
+        [df.select(F.lit(name).alias("table_name"), F.lit(1).alias("_w")) for name, df in tables.items()]
+        + [spark.createDataFrame([(name, 0) for name in tables], "table_name string, _w int")]
+    )
     return (
         tagged.rollup("table_name")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("_w").cast("long").alias("n"))
         .select(F.coalesce(F.col("table_name"), F.lit("TOTAL")).alias("table_name"), "n")
     )
 
