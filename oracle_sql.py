@@ -361,7 +361,7 @@ FROM (SELECT CASE WHEN delivery_time_minutes > 55 THEN '>55' ELSE '<=55' END AS
 GROUP BY delay_band""",
     "x05_duplicate_keys": """
 SELECT 'customers' AS table_name,
-       CAST(COUNT(DISTINCT customer_id) + MAX(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS keys,
+       CAST(COUNT(DISTINCT customer_id) + COALESCE(MAX(CASE WHEN customer_id IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT) AS keys,
        CAST((SELECT COUNT(*) FROM (SELECT customer_id FROM b_customers GROUP BY customer_id HAVING COUNT(*) > 1) r) AS BIGINT)
          AS repeated_keys,
        CAST((SELECT COUNT(*) FROM (SELECT customer_id FROM s_customers GROUP BY customer_id HAVING COUNT(*) > 1) r) AS BIGINT)
@@ -369,7 +369,7 @@ SELECT 'customers' AS table_name,
 FROM b_customers
 UNION ALL
 SELECT 'products',
-       CAST(COUNT(DISTINCT product_id) + MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END) AS BIGINT),
+       CAST(COUNT(DISTINCT product_id) + COALESCE(MAX(CASE WHEN product_id IS NULL THEN 1 ELSE 0 END), 0) AS BIGINT),
        CAST((SELECT COUNT(*) FROM (SELECT product_id FROM b_products GROUP BY product_id HAVING COUNT(*) > 1) r) AS BIGINT),
        CAST((SELECT COUNT(*) FROM (SELECT product_id FROM (SELECT DISTINCT * FROM b_products) d
                                    GROUP BY product_id HAVING COUNT(*) > 1) r) AS BIGINT)

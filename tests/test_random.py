@@ -20,16 +20,21 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows
 
-SEEDS = [3, 11, "empty-facts"]
+SEEDS = [3, 11, "empty-facts", "empty-orders", "empty-dims"]
+EMPTIED = {"empty-facts": {"lineitem"}, "empty-orders": {"orders"}, "empty-dims": {"customer", "part"}}
 
 
 def _maybe_null(rng, values, p):
     return [None if rng.random() < p else v for v in values]
 
 
+def _write(table: pa.Table, path: str, empty: bool) -> None:
+    pq.write_table(table.slice(0, 0) if empty else table, path)
+
+
 def _make_tables(seed) -> str:
-    empty = seed == "empty-facts"
-    rng = np.random.default_rng(0 if empty else seed)
+    emptied = EMPTIED.get(seed, set())
+    rng = np.random.default_rng(0 if emptied else seed)
     out = tempfile.mkdtemp(prefix=f"shelfwise-random-{seed}-")
     # region/nation/events: the real small tables
     for t in ("region", "nation", "events", "supplier"):
@@ -37,16 +42,16 @@ def _make_tables(seed) -> str:
 
     n_cust, n_part, n_orders, n_items = 60, 40, 300, 1200
     cust_keys = [int(k) for k in rng.choice(np.arange(0, 80), n_cust, replace=False)]
-    pq.write_table(pa.table({
+    _write(pa.table({
         "c_custkey": pa.array(_maybe_null(rng, cust_keys, 0.03), pa.int64()),
         "c_name": pa.array([f"Customer#{k}" for k in cust_keys], pa.string()),
         "c_nationkey": pa.array(_maybe_null(rng, [int(x) for x in rng.integers(0, 27, n_cust)], 0.05), pa.int32()),
         "c_acctbal": pa.array(rng.normal(size=n_cust), pa.float64()),
         "c_mktsegment": pa.array(["X"] * n_cust, pa.string()),
-    }), f"{out}/customer.parquet")
+    }), f"{out}/customer.parquet", "customer" in emptied)
 
     part_keys = list(range(n_part))
-    pq.write_table(pa.table({
+    _write(pa.table({
         "p_partkey": pa.array(part_keys + [3, 5], pa.int64()),  # two duplicated product ids
         "p_name": pa.array(_maybe_null(rng, [f"part {k}" for k in part_keys], 0.05) + ["zz", "aa"], pa.string()),
         "p_brand": pa.array([f"B{k % 4}" for k in part_keys] + ["B9", "B9"], pa.string()),
@@ -55,12 +60,12 @@ def _make_tables(seed) -> str:
         "p_retailprice": pa.array(
             _maybe_null(rng, [round(float(x), 2) for x in rng.uniform(1, 500, n_part)], 0.05)
             + [-1.0, 2.5], pa.float64()),
-    }), f"{out}/part.parquet")
+    }), f"{out}/part.parquet", "part" in emptied)
 
     base = dt.datetime(2024, 1, 1)
     okeys = [int(k) for k in rng.choice(np.arange(0, 400), n_orders, replace=False)]
     cust = [1 if rng.random() < 0.33 else int(k) for k in rng.integers(-5, 90, n_orders)]  # hot customer 1
-    pq.write_table(pa.table({
+    _write(pa.table({
         "o_orderkey": pa.array(_maybe_null(rng, okeys, 0.02), pa.int64()),
         "o_custkey": pa.array(_maybe_null(rng, cust, 0.05), pa.int64()),
         "o_orderstatus": pa.array(_maybe_null(rng, list(rng.choice(["F", "O", "P", "X"], n_orders)), 0.05),
@@ -70,7 +75,7 @@ def _make_tables(seed) -> str:
             rng, [base + dt.timedelta(days=int(d)) for d in rng.integers(0, 40, n_orders)], 0.03),
             pa.timestamp("us")),
         "o_orderpriority": pa.array(["1-URGENT"] * n_orders, pa.string()),
-    }), f"{out}/orders.parquet")
+    }), f"{out}/orders.parquet", "orders" in emptied)
 
     lok = [int(k) for k in rng.choice(okeys + [1000, 1001, 1011], n_items)]  # some orphan orders
     lpk = [0 if rng.random() < 0.33 else int(k) for k in rng.integers(0, n_part + 5, n_items)]  # hot part 0
@@ -97,9 +102,8 @@ def _make_tables(seed) -> str:
              "l_linenumber": pa.int32(), "l_quantity": pa.float64(), "l_extendedprice": pa.float64(),
              "l_discount": pa.float64(), "l_tax": pa.float64(), "l_returnflag": pa.string(),
              "l_linestatus": pa.string(), "l_shipdate": pa.timestamp("us")}
-    if empty:  # no line items at all: every item-derived metric is empty or NULL
-        cols = {k: [] for k in cols}
-    pq.write_table(pa.table({k: pa.array(v, types[k]) for k, v in cols.items()}), f"{out}/lineitem.parquet")
+    _write(pa.table({k: pa.array(v, types[k]) for k, v in cols.items()}), f"{out}/lineitem.parquet",
+           "lineitem" in emptied)
     return out
 
 
