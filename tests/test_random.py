@@ -20,7 +20,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows
 
-SEEDS = [3, 11, "empty-facts", "empty-orders", "empty-dims"]
+SEEDS = [3, 11, "empty-facts", "empty-orders", "empty-dims", "null-measures"]
 EMPTIED = {"empty-facts": {"lineitem"}, "empty-orders": {"orders"}, "empty-dims": {"customer", "part"}}
 
 
@@ -34,7 +34,8 @@ def _write(table: pa.Table, path: str, empty: bool) -> None:
 
 def _make_tables(seed) -> str:
     emptied = EMPTIED.get(seed, set())
-    rng = np.random.default_rng(0 if emptied else seed)
+    all_null = seed == "null-measures"  # every quantity, price and date is NULL
+    rng = np.random.default_rng(seed if isinstance(seed, int) else 0)
     out = tempfile.mkdtemp(prefix=f"shelfwise-random-{seed}-")
     # region/nation/events: the real small tables
     for t in ("region", "nation", "events", "supplier"):
@@ -72,8 +73,8 @@ def _make_tables(seed) -> str:
                                   pa.string()),
         "o_totalprice": pa.array(rng.uniform(size=n_orders), pa.float64()),
         "o_orderdate": pa.array(_maybe_null(
-            rng, [base + dt.timedelta(days=int(d)) for d in rng.integers(0, 40, n_orders)], 0.03),
-            pa.timestamp("us")),
+            rng, [base + dt.timedelta(days=int(d)) for d in rng.integers(0, 40, n_orders)],
+            1.0 if all_null else 0.03), pa.timestamp("us")),
         "o_orderpriority": pa.array(["1-URGENT"] * n_orders, pa.string()),
     }), f"{out}/orders.parquet", "orders" in emptied)
 
@@ -87,13 +88,13 @@ def _make_tables(seed) -> str:
         "l_partkey": _maybe_null(rng, lpk, 0.02),
         "l_suppkey": _maybe_null(rng, [int(s) for s in rng.integers(0, 6, n_items)], 0.02),
         "l_linenumber": [1] * n_items,
-        "l_quantity": _maybe_null(rng, qty, 0.03),
-        "l_extendedprice": _maybe_null(rng, price, 0.03),
+        "l_quantity": _maybe_null(rng, qty, 1.0 if all_null else 0.03),
+        "l_extendedprice": _maybe_null(rng, price, 1.0 if all_null else 0.03),
         "l_discount": [0.0] * n_items,
         "l_tax": [0.0] * n_items,
         "l_returnflag": ["N"] * n_items,
         "l_linestatus": ["O"] * n_items,
-        "l_shipdate": _maybe_null(rng, ship, 0.03),
+        "l_shipdate": _maybe_null(rng, ship, 1.0 if all_null else 0.03),
     }
     dup = [int(i) for i in rng.choice(n_items, 40)]  # exact duplicate line items
     for name in cols:
