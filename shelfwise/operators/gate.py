@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +35,7 @@ class GateFailure(RuntimeError):
         self.failures = failures
 
 
-def _rule(rule: str, column: str | None, bad: F.Column) -> F.Column:
+def _rule(rule: str, column: str | None, bad: Column) -> Column:
     return F.struct(
         F.lit(rule).alias("rule"),
         F.lit(column).cast("string").alias("column_name"),
