@@ -1,5 +1,4 @@
-"""Command line: ``python -m shelfwise run BRONZE_DIR OUT_DIR`` or
-``python -m shelfwise ask GOLD_DIR``."""
+"""Command line: ``python -m shelfwise run|ingest|extras|ask ...`` (see ``--help``)."""
 
 from __future__ import annotations
 
@@ -29,6 +28,12 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--master", default=None)
     run.add_argument("--cores", type=int, default=0,
                      help="total executor cores; sizes shuffle partitions to the bronze volume")
+    ingest = sub.add_parser("ingest", help="clean new bronze files of the append-only tables into silver")
+    ingest.add_argument("bronze_dir")
+    ingest.add_argument("silver_dir")
+    ingest.add_argument("--checkpoint-root", default=None,
+                        help="stream progress folder (default: spark.checkpoint.dir)")
+    ingest.add_argument("--master", default=None)
     extras = sub.add_parser("extras", help="write the extension metrics of a finished run")
     extras.add_argument("out_dir")
     extras.add_argument("--master", default=None)
@@ -49,6 +54,11 @@ def main(argv: list[str] | None = None) -> int:
         for report in summary.silver_rows:
             print(report)
         print(f"gate: {len(summary.gate_rules)} rules passed")
+    elif args.cmd == "ingest":
+        from shelfwise.streaming import ingest_silver
+
+        for name, rows in ingest_silver(spark, args.bronze_dir, args.silver_dir, args.checkpoint_root).items():
+            print(f"{name}: {rows} rows read from new files")
     elif args.cmd == "extras":
         for name in layers.build_extensions(spark, args.out_dir):
             print(f"wrote {name}")

@@ -31,3 +31,15 @@ def test_incremental_ingest_matches_batch(spark, workdir):
         got = io.read_layer(spark, silver_dir, name)
         batch = CLEANERS[name](io.read_bronze_csv(spark, bronze_dir, name)).select(*got.columns)
         assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0, name
+
+
+def test_cli_ingest(spark, workdir, capsys):
+    from shelfwise.__main__ import main
+
+    bronze_dir = f"{workdir}/bronze"
+    tables = fixtures.bronze_with_all_columns(spark, SF_SMALL)
+    for name in ("orders", "order_items", "inventory"):
+        io.write_bronze_csv(tables[name], bronze_dir, name)
+    assert main(["ingest", bronze_dir, f"{workdir}/silver", "--checkpoint-root", f"{workdir}/ckpt"]) == 0
+    assert "orders: 1500 rows read from new files" in capsys.readouterr().out
+    assert io.read_layer(spark, f"{workdir}/silver", "orders").count() == 1497
