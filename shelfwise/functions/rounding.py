@@ -4,7 +4,8 @@
 binary value of the mean sits just under the decimal half (and the two SQL
 engines used here disagree on such ties). Every rounded metric in the
 pipeline is a ratio of an exact numerator (decimal money or a count) and an
-integral denominator, so it is rounded with integer arithmetic instead:
+exact denominator (a count or a decimal total), so it is rounded with exact
+integral division instead:
 
     round_half_up(n / d, s) = sign(n) * ((2 * |n| * 10^s + d) div (2 * d)) / 10^s
 
@@ -25,8 +26,8 @@ def half_up_ratio(num: Column | str, den: Column | str, scale: int) -> Column:
     """``num / den`` rounded half away from zero to ``scale`` digits, as double.
 
     ``num`` must be exact (integral, or decimal such that ``num * 10^scale``
-    is integral); ``den`` is a positive integral count. Returns NULL when
-    ``den`` is 0 or NULL.
+    is integral); ``den`` must be exact and positive (a count, or a decimal
+    total as in a share of revenue). Returns NULL when ``den`` is 0 or NULL.
     """
     n, d = _col(num), _col(den)
     factor = 10 ** scale
