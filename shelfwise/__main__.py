@@ -25,6 +25,9 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("bronze_dir")
     run.add_argument("out_dir")
     run.add_argument("--single-file-gold", action="store_true")
+    run.add_argument("--from", dest="start_at", default="stage",
+                     choices=["stage", "check_bronze", "silver", "gold", "gate"],
+                     help="resume at this step, reading the tables earlier steps wrote")
     run.add_argument("--master", default=None)
     run.add_argument("--cores", type=int, default=0,
                      help="total executor cores; sizes shuffle partitions to the bronze volume")
@@ -50,7 +53,8 @@ def main(argv: list[str] | None = None) -> int:
     from shelfwise.plans import layers
 
     if args.cmd == "run":
-        summary = layers.run_layers(spark, args.bronze_dir, args.out_dir, args.single_file_gold)
+        summary = layers.run_layers(spark, args.bronze_dir, args.out_dir, args.single_file_gold,
+                                    start_at=args.start_at)
         for report in summary.silver_rows:
             print(report)
         print(f"gate: {len(summary.gate_rules)} rules passed")

@@ -121,15 +121,32 @@ def validate_gold(spark: SparkSession, gold_dir: str, report_dir: str | None = N
     return gate_ops.enforce(rules)
 
 
+STEPS = ("stage", "check_bronze", "silver", "gold", "gate")
+
+
 def run_layers(spark: SparkSession, bronze_dir: str, out_dir: str,
-               single_file_gold: bool = False, null_value: str | None = None) -> RunSummary:
-    """Stage bronze -> bronze checks -> silver -> gold -> gate, stopping on the first failure."""
+               single_file_gold: bool = False, null_value: str | None = None,
+               start_at: str = "stage") -> RunSummary:
+    """Stage bronze -> bronze checks -> silver -> gold -> gate, stopping on the first failure.
+
+    ``start_at`` resumes a failed run at one of :data:`STEPS`: earlier steps
+    are not repeated, their written tables are read instead.
+    """
+    if start_at not in STEPS:
+        raise ValueError(f"start_at must be one of {STEPS}")
+    todo = set(STEPS[STEPS.index(start_at):])
     paths = LayerPaths(out_dir)
     summary = RunSummary()
-    bronze = stage_bronze(spark, bronze_dir, paths.staged, null_value)
-    validate_bronze(bronze, paths.reports)
-    summary.silver_rows = build_silver_layer(bronze, paths.silver)
-    summary.single_file_gold = build_gold_layer(spark, paths.silver, paths.gold, single_file_gold)
+    if "stage" in todo:
+        bronze = stage_bronze(spark, bronze_dir, paths.staged, null_value)
+    elif todo & {"check_bronze", "silver"}:
+        bronze = read_staged(spark, paths.staged)
+    if "check_bronze" in todo:
+        validate_bronze(bronze, paths.reports)
+    if "silver" in todo:
+        summary.silver_rows = build_silver_layer(bronze, paths.silver)
+    if "gold" in todo:
+        summary.single_file_gold = build_gold_layer(spark, paths.silver, paths.gold, single_file_gold)
     summary.gate_rules = validate_gold(spark, paths.gold, paths.reports)
     return summary
 

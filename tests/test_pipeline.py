@@ -107,3 +107,21 @@ def test_cli_ask_sql(spark, workdir, capsys):
     assert main(["ask", workdir, "--sql"]) == 0
     out = capsys.readouterr().out
     assert "== q10_city_revenue" in out and "total_revenue" in out
+
+
+def test_resume_from_gold(spark, workdir):
+    """A run that failed after silver resumes at gold, reading the written silver tables."""
+    from shelfwise.operators.silver import CLEANERS
+
+    paths = layers.LayerPaths(workdir)
+    bronze = fixtures.bronze(spark, SF_SMALL)
+    for name in CLEANERS:
+        io.write_table(CLEANERS[name](bronze[name]), paths.silver, name,
+                       layers.PARTITION_COLUMNS.get(name))
+    summary = layers.run_layers(spark, "/nonexistent-bronze", workdir, start_at="gold")
+    assert summary.silver_rows == [] and len(summary.gate_rules) == 35
+    expected = gold_tables(spark, SF_SMALL)
+    for name in GOLD_TABLES:
+        assert _same(expected[name], io.read_layer(spark, paths.gold, name)), name
+    summary = layers.run_layers(spark, "/nonexistent-bronze", workdir, start_at="gate")
+    assert summary.single_file_gold == {} and len(summary.gate_rules) == 35
