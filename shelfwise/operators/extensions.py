@@ -44,9 +44,14 @@ def demand_concentration(sales: DataFrame, top_pct: int = TOP_SHARE_PCT) -> Data
 
 
 def hour_of_day(time: Column, dtype: T.DataType) -> Column:
-    """Hour from a timestamp, or from an ``HH:MM:SS`` string column."""
+    """Hour from a timestamp, or from an ``H:MM[:SS]`` string column.
+
+    A string that is not a time of day gives NULL (``try_cast``) rather
+    than failing the job under ANSI mode.
+    """
     if isinstance(dtype, T.StringType):
-        return F.substring(time, 1, 2).cast("int")
+        hour = F.split(F.trim(time), ":").getItem(0).try_cast("int")
+        return F.when(hour.between(0, 23), hour)
     return F.hour(time)
 
 

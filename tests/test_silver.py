@@ -87,10 +87,11 @@ def test_orders_by_hour_from_string_times(spark):
     from shelfwise.operators.extensions import orders_by_hour
 
     rows = [(1, 1, D, "18:30:00", 1.0, 10, "Delivered"), (2, 1, D, "18:05:00", 1.0, 10, "Delivered"),
-            (3, 1, D, "07:00:00", 1.0, 10, "Cancelled"), (4, 1, D, None, 1.0, 10, "Delivered")]
+            (3, 1, D, "7:00:00", 1.0, 10, "Cancelled"), (4, 1, D, None, 1.0, 10, "Delivered"),
+            (5, 1, D, "late", 1.0, 10, "Delivered"), (6, 1, D, "25:00:00", 1.0, 10, "Delivered")]
     df = spark.createDataFrame(rows, BRONZE["orders"])
     got = [(r.hour, r.orders, r.pct_of_orders) for r in orders_by_hour(df).collect()]
-    assert got == [(7, 1, 33.3), (18, 2, 66.7)]
+    assert got == [(7, 1, 33.3), (18, 2, 66.7)]  # unknown and malformed times are excluded
 
 
 def test_csv_header_is_checked(spark, workdir):
