@@ -95,19 +95,21 @@ def build_gold_layer(spark: SparkSession, silver_dir: str, gold_dir: str,
                      single_file: bool = False) -> dict[str, bool]:
     """Compute and write the six gold tables from silver Parquet.
 
-    The two shared intermediates are persisted (memory, spilling to disk)
-    for the duration of the writes; a lost block is recomputed from lineage.
+    The two shared intermediates are aggregates (order counts and values per
+    date and per customer; product sales), persisted in memory spilling to
+    disk for the duration of the writes; a lost block is recomputed from
+    lineage. Neither holds a row per order or per item.
     """
     silver = {name: io.read_layer(spark, silver_dir, name) for name in TABLES}
-    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"]).persist(
-        StorageLevel.MEMORY_AND_DISK)
+    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"])
+    rollups = gold_ops.order_rollups(valued).persist(StorageLevel.MEMORY_AND_DISK)
     sales = gold_ops.product_sales(silver["order_items"]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        tables = gold_ops.build_gold(silver, valued=valued, sales=sales)
+        tables = gold_ops.build_gold(silver, rollups=rollups, sales=sales)
         return {name: io.write_gold(gold_ops.presented(name, df), gold_dir, name, single_file)
                 for name, df in tables.items()}
     finally:
-        valued.unpersist()
+        rollups.unpersist()
         sales.unpersist()
 
 

@@ -122,3 +122,19 @@ def test_silver_is_idempotent(spark):
     for name, fn in CLEANERS.items():
         again = fn(s[name])
         assert again.exceptAll(s[name]).count() == 0 and s[name].exceptAll(again).count() == 0, name
+
+
+def test_rollup_path_equals_direct_path(spark):
+    from tests.conftest import SF_MID
+
+    s = silver_tables(spark, SF_MID)
+    valued = gold.orders_with_value(s["orders"], s["order_items"])
+    rollups = gold.order_rollups(valued)
+    pairs = [
+        (gold.daily_orders(valued), gold.daily_orders_from_rollups(rollups)),
+        (gold.location_insights(valued, s["customers"]),
+         gold.location_insights_from_rollups(rollups, s["customers"])),
+    ]
+    for direct, rolled in pairs:
+        assert direct.dtypes == rolled.dtypes
+        assert direct.exceptAll(rolled).count() == 0 and rolled.exceptAll(direct).count() == 0
