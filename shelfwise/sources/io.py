@@ -61,7 +61,7 @@ def read_if_exists(spark: SparkSession, base: str, name: str) -> DataFrame | Non
     try:
         return read_layer(spark, base, name)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
+        if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
