@@ -9,6 +9,10 @@ what is there and stops, so a scheduler can call it like a batch job.
 Customers and products are de-duplicated (stateful, whole-table rules) and
 stay batch-built. Stream progress lives under the cluster's shared
 ``spark.checkpoint.dir``; a restarted run resumes from it.
+
+A silver folder is owned by one writer: the stream's sink keeps a
+``_spark_metadata`` log that readers honour, so do not also overwrite it
+with the batch layer run (point the two at different silver folders).
 """
 
 from __future__ import annotations
