@@ -45,9 +45,10 @@ def dedup_by_key(df: DataFrame, key: str) -> DataFrame:
     """One row per ``key``: the smallest row under the order of the other columns.
 
     Written as ``min(struct)`` per key rather than ``row_number`` over a
-    window, so it is a hash aggregate with a partial (map-side) step: a key
-    repeated across a third of the table is reduced on each mapper before
-    the shuffle instead of being sorted in one task. The survivor is
+    window, so it is an aggregate with a partial (map-side) step (Spark
+    plans it sort-based because the row holds strings): a key repeated
+    across a third of the table is reduced on each mapper before the
+    shuffle instead of being sorted in one task. The survivor is
     deterministic, unlike ``dropDuplicates([key])``.
     """
     others = [c for c in df.columns if c != key]
