@@ -55,3 +55,16 @@ def test_scan_prunes_columns(spark):
     plan = _plan(entry.queries()["daily_orders"](spark, SF_SMALL))
     lineitem = [line for line in plan.splitlines() if "ReadSchema: struct<l_" in line]
     assert lineitem and all("l_comment" not in x and "l_shipdate" not in x for x in lineitem)
+
+
+def test_latest_snapshot_prunes_partitions(spark, workdir):
+    """On date-partitioned silver inventory the latest-date filter is a partition filter."""
+    from shelfwise.operators import gold, silver
+    from shelfwise.sources import fixtures
+    from shelfwise.sources import io as layer_io
+
+    inv = silver.clean_inventory(fixtures.inventory(spark, SF_SMALL))
+    layer_io.write_table(inv, workdir, "inventory", partition_by="inventory_date")
+    plan = _plan(gold.latest_snapshot(layer_io.read_layer(spark, workdir, "inventory")))
+    filters = [line for line in plan.splitlines() if line.startswith("PartitionFilters")]
+    assert any("inventory_date" in f and "Subquery" in f for f in filters), filters
