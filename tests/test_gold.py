@@ -134,6 +134,7 @@ def test_rollup_path_equals_direct_path(spark):
         (gold.daily_orders(valued), gold.daily_orders_from_rollups(rollups)),
         (gold.location_insights(valued, s["customers"]),
          gold.location_insights_from_rollups(rollups, s["customers"])),
+        (gold.delivery_performance(s["orders"]), gold.delivery_performance_from_rollups(rollups)),
     ]
     for direct, rolled in pairs:
         assert direct.dtypes == rolled.dtypes
