@@ -91,26 +91,34 @@ def build_silver_layer(bronze: dict[str, DataFrame], silver_dir: str) -> list[io
     ]
 
 
+def cached_gold(silver: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """The six gold tables over persisted shared aggregates; returns (tables, cached).
+
+    Each fact table is read once: one grouping-sets pass over the items
+    gives order values and product sales, one over the orders (joined to
+    their values) gives the per-date, per-store and per-customer figures.
+    Only these aggregates are persisted (memory, spilling to disk), never a
+    row per item; a lost block is recomputed from lineage. Unpersist the
+    returned frames when the tables are written.
+    """
+    items = gold_ops.item_rollups(silver["order_items"]).persist(StorageLevel.MEMORY_AND_DISK)
+    valued = gold_ops.join_order_values(silver["orders"], gold_ops.order_value_from_rollups(items))
+    rollups = gold_ops.order_rollups(valued).persist(StorageLevel.MEMORY_AND_DISK)
+    sales = gold_ops.product_sales_from_rollups(items)
+    return gold_ops.build_gold(silver, rollups=rollups, sales=sales), [rollups, items]
+
+
 def build_gold_layer(spark: SparkSession, silver_dir: str, gold_dir: str,
                      single_file: bool = False) -> dict[str, bool]:
-    """Compute and write the six gold tables from silver Parquet.
-
-    The two shared intermediates are aggregates (order counts and values per
-    date and per customer; product sales), persisted in memory spilling to
-    disk for the duration of the writes; a lost block is recomputed from
-    lineage. Neither holds a row per order or per item.
-    """
+    """Compute and write the six gold tables from silver Parquet (see :func:`cached_gold`)."""
     silver = {name: io.read_layer(spark, silver_dir, name) for name in TABLES}
-    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"])
-    rollups = gold_ops.order_rollups(valued).persist(StorageLevel.MEMORY_AND_DISK)
-    sales = gold_ops.product_sales(silver["order_items"]).persist(StorageLevel.MEMORY_AND_DISK)
+    tables, cached = cached_gold(silver)
     try:
-        tables = gold_ops.build_gold(silver, rollups=rollups, sales=sales)
         return {name: io.write_gold(gold_ops.presented(name, df), gold_dir, name, single_file)
                 for name, df in tables.items()}
     finally:
-        rollups.unpersist()
-        sales.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def validate_gold(spark: SparkSession, gold_dir: str, report_dir: str | None = None) -> list[str]:
