@@ -176,6 +176,11 @@ def demand_by_area(order_items: DataFrame, orders: DataFrame, customers: DataFra
     customer dimension.
     """
     per_order = order_items.groupBy("order_id").agg(F.sum("quantity").alias("_u"))
+    return demand_by_area_from_units(per_order, orders, customers)
+
+
+def demand_by_area_from_units(per_order: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
+    """X9 from units already summed per order (columns ``order_id``, ``_u``)."""
     per_customer = (
         per_order.join(orders.select("order_id", "customer_id"), on="order_id")
         .groupBy("customer_id").agg(F.sum("_u").alias("_u"))

@@ -96,6 +96,11 @@ def order_value_from_rollups(items: DataFrame) -> DataFrame:
         "order_id", F.col("revenue").alias("order_value"))
 
 
+def order_units_from_rollups(items: DataFrame) -> DataFrame:
+    """Units per order from :func:`item_rollups` (columns ``order_id``, ``units_sold``)."""
+    return items.filter(F.col("_set") == _PER_ORDER).select("order_id", "units_sold")
+
+
 def product_sales_from_rollups(items: DataFrame) -> DataFrame:
     """Product sales from :func:`item_rollups` (same rows as :func:`product_sales`)."""
     return items.filter(F.col("_set") == _PER_PRODUCT).select("product_id", "units_sold", "revenue")

@@ -168,14 +168,22 @@ def answer_questions(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]
     return answer_all(gold)
 
 
-def extension_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    """X1-X12 over a finished layer run (staged bronze, silver and gold), lazily."""
+def extension_tables(spark: SparkSession, out_dir: str,
+                     items: DataFrame | None = None) -> dict[str, DataFrame]:
+    """X1-X12 over a finished layer run (staged bronze, silver and gold), lazily.
+
+    X1, X7 and X9 share one pass over the items (``item_rollups`` of silver
+    order items); pass a persisted copy as ``items`` to compute it once.
+    """
     paths = LayerPaths(out_dir)
     bronze = read_staged(spark, paths.staged)
     silver = {name: io.read_layer(spark, paths.silver, name) for name in TABLES}
     health = io.read_layer(spark, paths.gold, "inventory_health")
-    sales = gold_ops.product_sales(silver["order_items"])
-    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"])
+    if items is None:
+        items = gold_ops.item_rollups(silver["order_items"])
+    sales = gold_ops.product_sales_from_rollups(items)
+    valued = gold_ops.join_order_values(silver["orders"], gold_ops.order_value_from_rollups(items))
+    units = gold_ops.order_units_from_rollups(items).withColumnRenamed("units_sold", "_u")
     return {
         "x01_demand_concentration": ext.demand_concentration(sales),
         "x02_orders_by_hour": ext.orders_by_hour(silver["orders"]),
@@ -185,7 +193,7 @@ def extension_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
         "x06_latest_snapshot": ext.latest_per_pair(silver["inventory"]),
         "x07_weighted_aov": ext.weighted_aov(valued),
         "x08_delivery_by_location": ext.delivery_by_location(silver["orders"], silver["customers"]),
-        "x09_demand_by_area": ext.demand_by_area(silver["order_items"], silver["orders"], silver["customers"]),
+        "x09_demand_by_area": ext.demand_by_area_from_units(units, silver["orders"], silver["customers"]),
         "x10_demand_stock_ratio": ext.demand_stock_ratio(health),
         "x11_stockout_by_decile": ext.stockout_by_decile(health),
         "x12_missing_snapshots": ext.missing_snapshots(silver["inventory"]),
@@ -193,9 +201,17 @@ def extension_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
 
 
 def build_extensions(spark: SparkSession, out_dir: str) -> list[str]:
-    """Write every extension table under ``<out_dir>/extensions``; returns their names."""
+    """Write every extension table under ``<out_dir>/extensions``; returns their names.
+
+    The item aggregate shared by X1, X7 and X9 is persisted for the writes.
+    """
     paths = LayerPaths(out_dir)
-    tables = extension_tables(spark, out_dir)
-    for name, df in tables.items():
-        io.write_table(df, paths.extensions, name)
+    items = gold_ops.item_rollups(io.read_layer(spark, paths.silver, "order_items")).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    try:
+        tables = extension_tables(spark, out_dir, items)
+        for name, df in tables.items():
+            io.write_table(df, paths.extensions, name)
+    finally:
+        items.unpersist()
     return list(tables)
