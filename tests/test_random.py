@@ -128,3 +128,19 @@ def test_query_matches_oracle_on_random_data(spark, duck, random_dir, name):
     d_cols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _rows(df.columns, df.collect()) == _rows(d_cols, rel.fetchall())
+
+
+def test_pipeline_gold_path_on_random_data(spark, random_dir):
+    """The file pipeline's grouping-sets gold step equals the standalone gold queries."""
+    from shelfwise.plans.layers import cached_gold
+    from shelfwise.plans.registry import gold_tables, silver_tables
+
+    tables, cached = cached_gold(silver_tables(spark, random_dir))
+    try:
+        for name, direct in gold_tables(spark, random_dir).items():
+            rolled = tables[name]
+            assert direct.dtypes == rolled.dtypes, name
+            assert direct.exceptAll(rolled).count() == 0 and rolled.exceptAll(direct).count() == 0, name
+    finally:
+        for df in cached:
+            df.unpersist()
