@@ -21,7 +21,7 @@ def _input_bytes(path: str) -> int:
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="shelfwise")
     sub = parser.add_subparsers(dest="cmd", required=True)
-    run = sub.add_parser("run", help="bronze checks -> silver -> gold -> gate")
+    run = sub.add_parser("run", help="stage bronze -> bronze checks -> silver -> gold -> gate")
     run.add_argument("bronze_dir")
     run.add_argument("out_dir")
     run.add_argument("--single-file-gold", action="store_true")
