@@ -64,9 +64,9 @@ s_customers AS (
   SELECT DISTINCT customer_id, customer_name, city, COALESCE(area, 'Unknown') AS area FROM b_customers
 ),
 s_orders AS (
-  SELECT order_id, customer_id, order_date, CAST(store_id AS INT) AS store_id,
-         abs(delivery_time_minutes) AS delivery_time_minutes, order_status
-  FROM b_orders WHERE store_id IS NOT NULL
+  SELECT order_id, customer_id, order_date, TRY_CAST(store_id AS INT) AS store_id,
+         TRY_CAST(abs(CAST(delivery_time_minutes AS BIGINT)) AS INT) AS delivery_time_minutes, order_status
+  FROM b_orders WHERE TRY_CAST(store_id AS INT) IS NOT NULL
 ),
 s_order_items AS (
   SELECT * FROM b_order_items WHERE quantity > 0 AND unit_price >= 0

@@ -23,12 +23,17 @@ def clean_customers(df: DataFrame) -> DataFrame:
 def clean_orders(df: DataFrame) -> DataFrame:
     """Drop orders without a store, repair the sign of delivery time.
 
-    ``store_id`` arrives as double (``3.0`` in the CSV) and leaves as int.
+    ``store_id`` arrives as double (``3.0`` in the CSV) and leaves as int; a
+    value that is not a valid int id counts as no store. One bad raw row must
+    not fail the job under ANSI mode, so the cast is a ``try_cast`` and the
+    one delivery time whose absolute value has no int (-2147483648) becomes
+    NULL instead of overflowing.
     """
+    minutes = F.col("delivery_time_minutes")
     return (
-        df.dropna(subset=["store_id"])
-        .withColumn("store_id", F.col("store_id").cast("int"))
-        .withColumn("delivery_time_minutes", F.abs(F.col("delivery_time_minutes")))
+        df.withColumn("store_id", F.col("store_id").try_cast("int"))
+        .dropna(subset=["store_id"])
+        .withColumn("delivery_time_minutes", F.abs(minutes.cast("long")).try_cast("int"))
     )
 
 

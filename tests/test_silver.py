@@ -103,3 +103,11 @@ def test_csv_header_is_checked(spark, workdir):
         fh.write("1,fruit,apple,b1,1.00\n")
     with pytest.raises(Exception, match="(?i)header|CSV"):
         io.read_bronze_csv(spark, workdir, "products").collect()
+
+
+def test_orders_bad_values_do_not_fail_the_job(spark):
+    rows = [(1, 1, D, None, 3.0, -2147483648, "Delivered"),   # |min int| has no int
+            (2, 1, D, None, 1e12, 10, "Delivered"),           # not a valid int store id
+            (3, 1, D, None, 4.0, -7, "Delivered")]
+    out = silver.clean_orders(spark.createDataFrame(rows, BRONZE["orders"])).collect()
+    assert sorted((r.order_id, r.store_id, r.delivery_time_minutes) for r in out) == [(1, 3, None), (3, 4, 7)]
