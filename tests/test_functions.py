@@ -57,3 +57,17 @@ def test_ntile_matches_sql(spark):
         got = df.select("rn", ntile_of("rn", F.lit(n), 10).alias("t"))
         ref = df.select("rn", F.ntile(10).over(Window.orderBy("rn")).alias("t"))
         assert sorted(got.collect()) == sorted(ref.collect()), n
+
+
+def test_rank_partitions_are_capped(spark):
+    from shelfwise.operators import ranking
+
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5000")
+    try:
+        df = spark.range(0, 3000).select(F.col("id"))
+        ranked = global_row_number(df, [F.asc("id")], "rn")
+        assert ranked.filter(F.col("rn") != F.col("id") + 1).count() == 0
+        assert ranking.MAX_RANK_PARTITIONS == 1024
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
