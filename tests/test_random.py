@@ -20,7 +20,7 @@ import __spark_entry__ as entry
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows
 
-SEEDS = [3, 11, "empty-facts", "empty-orders", "empty-dims", "null-measures"]
+SEEDS = [3, 11, "empty-facts", "empty-orders", "empty-dims", "null-measures", "single-key"]
 EMPTIED = {"empty-facts": {"lineitem"}, "empty-orders": {"orders"}, "empty-dims": {"customer", "part"}}
 
 
@@ -35,6 +35,7 @@ def _write(table: pa.Table, path: str, empty: bool) -> None:
 def _make_tables(seed) -> str:
     emptied = EMPTIED.get(seed, set())
     all_null = seed == "null-measures"  # every quantity, price and date is NULL
+    hot_share = 1.0 if seed == "single-key" else 0.33  # one customer / one part holds this share
     rng = np.random.default_rng(seed if isinstance(seed, int) else 0)
     out = tempfile.mkdtemp(prefix=f"shelfwise-random-{seed}-")
     # region/nation/events: the real small tables
@@ -65,7 +66,7 @@ def _make_tables(seed) -> str:
 
     base = dt.datetime(2024, 1, 1)
     okeys = [int(k) for k in rng.choice(np.arange(0, 400), n_orders, replace=False)]
-    cust = [1 if rng.random() < 0.33 else int(k) for k in rng.integers(-5, 90, n_orders)]  # hot customer 1
+    cust = [1 if rng.random() < hot_share else int(k) for k in rng.integers(-5, 90, n_orders)]  # hot customer 1
     _write(pa.table({
         "o_orderkey": pa.array(_maybe_null(rng, okeys, 0.02), pa.int64()),
         "o_custkey": pa.array(_maybe_null(rng, cust, 0.05), pa.int64()),
@@ -79,7 +80,7 @@ def _make_tables(seed) -> str:
     }), f"{out}/orders.parquet", "orders" in emptied)
 
     lok = [int(k) for k in rng.choice(okeys + [1000, 1001, 1011], n_items)]  # some orphan orders
-    lpk = [0 if rng.random() < 0.33 else int(k) for k in rng.integers(0, n_part + 5, n_items)]  # hot part 0
+    lpk = [0 if rng.random() < hot_share else int(k) for k in rng.integers(0, n_part + 5, n_items)]  # hot part 0
     qty = [float(q) for q in rng.integers(1, 51, n_items)]
     price = [round(float(x), 2) for x in rng.uniform(0, 1000, n_items)]
     ship = [base + dt.timedelta(days=int(d)) for d in rng.integers(0, 120, n_items)]
