@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
 from shelfwise.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
+    "op6_near_dedup": op6_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
+    "op6_near_dedup": OP6_SQL,
 }
