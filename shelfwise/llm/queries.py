@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfwise.llm.decontamination import OP2_SQL, op2_decontamination
 from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
+from shelfwise.llm.pii import op1_pii
 from shelfwise.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
+    "op2_decontamination": op2_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
     "op6_near_dedup": op6_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": OP2_SQL,
     "op3_substring_dedup": OP3_SQL,
     "op6_near_dedup": OP6_SQL,
 }
