@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.decontamination import OP2_SQL, op2_decontamination
+from shelfwise.llm.language import op4_language
 from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
+from shelfwise.llm.packing import op10_packing
 from shelfwise.llm.pii import op1_pii
 from shelfwise.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 
@@ -15,7 +17,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_decontamination": op2_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_language": op4_language,
     "op6_near_dedup": op6_near_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {
