@@ -10,7 +10,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfwise.llm.decontamination import decontaminate
 from shelfwise.llm.language import held_out, keep_identified
@@ -20,6 +20,11 @@ from shelfwise.llm.pii import pseudonymized
 from shelfwise.session import ensure_checkpoint_dir
 
 
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars`` of the texts as they are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose language can be told, ``lang`` set to it; rows without a letter go."""
     return keep_identified(docs, docs.where(~held_out()))
@@ -32,12 +37,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows without passages of the benchmark; rows that are mostly benchmark go."""
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text"))
+    return _counted(decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")))
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The same rows with pseudonyms for personal data."""
-    return pseudonymized(docs).drop("pii")
+    return _counted(pseudonymized(docs).drop("pii"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

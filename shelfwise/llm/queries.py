@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.decontamination import OP2_SQL, op2_decontamination
 from shelfwise.llm.language import op4_language
+from shelfwise.llm.language_model import op9_language_model
 from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
 from shelfwise.llm.packing import op10_packing
 from shelfwise.llm.pii import op1_pii
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language": op4_language,
     "op6_near_dedup": op6_near_dedup,
+    "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
 }
 
