@@ -13,6 +13,7 @@ from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
 from shelfwise.llm.packing import op10_packing
 from shelfwise.llm.pii import op1_pii
 from shelfwise.llm.substring_dedup import OP3_SQL, op3_substring_dedup
+from shelfwise.llm.top_k import OP7_SQL, op7_top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language": op4_language,
     "op6_near_dedup": op6_near_dedup,
+    "op7_top_k": op7_top_k,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
 }
@@ -28,4 +30,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": OP2_SQL,
     "op3_substring_dedup": OP3_SQL,
     "op6_near_dedup": OP6_SQL,
+    "op7_top_k": OP7_SQL,
 }
