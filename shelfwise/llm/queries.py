@@ -14,6 +14,7 @@ from shelfwise.llm.packing import op10_packing
 from shelfwise.llm.pii import op1_pii
 from shelfwise.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 from shelfwise.llm.top_k import OP7_SQL, op7_top_k
+from shelfwise.llm.toxicity import op8_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op6_near_dedup": op6_near_dedup,
     "op7_top_k": op7_top_k,
+    "op8_toxicity": op8_toxicity,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
 }
