@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.decontamination import OP2_SQL, op2_decontamination
+from shelfwise.llm.html_text import op5_html_extraction
 from shelfwise.llm.language import op4_language
 from shelfwise.llm.language_model import op9_language_model
 from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_language": op4_language,
+    "op5_html_extraction": op5_html_extraction,
     "op6_near_dedup": op6_near_dedup,
     "op7_top_k": op7_top_k,
     "op8_toxicity": op8_toxicity,
