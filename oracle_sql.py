@@ -16,7 +16,7 @@ BASE = """
 base_customers AS (
   SELECT c_custkey AS customer_id, c_name AS customer_name, r_name AS city,
          CASE WHEN c_custkey % 200 = 7 THEN NULL ELSE n_name END AS area
-  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 ),
 b_customers AS (
   SELECT * FROM base_customers UNION ALL SELECT * FROM base_customers WHERE customer_id % 50 = 7
@@ -26,6 +26,12 @@ b_products AS (
          CAST(p_retailprice AS DECIMAL(12,2)) AS price
   FROM part
 ),
+x_products AS (
+  SELECT * FROM b_products
+  UNION ALL SELECT product_id, product_name, category, brand, CAST(-5 AS DECIMAL(12,2)) FROM b_products WHERE product_id % 20 = 3
+  UNION ALL SELECT product_id, product_name, category, brand, NULL FROM b_products WHERE product_id % 20 = 4
+  UNION ALL SELECT product_id + 1000000, product_name, category, brand, CAST(-1 AS DECIMAL(12,2)) FROM b_products WHERE product_id % 50 = 5
+),
 b_orders AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS order_date,
          CASE WHEN o_orderkey % 500 = 3 THEN NULL ELSE CAST(o_custkey % 50 + 1 AS INT) END AS store_id,
@@ -74,9 +80,9 @@ s_order_items AS (
 s_products AS (
   SELECT product_id, product_name, category, brand, price FROM (
     SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY product_name NULLS FIRST,
-             category NULLS FIRST, brand NULLS FIRST, price NULLS FIRST) AS rn
-    FROM b_products) t
-  WHERE rn = 1 AND price >= 0
+             category NULLS FIRST, brand NULLS FIRST, price) AS rn
+    FROM b_products WHERE price >= 0) t
+  WHERE rn = 1
 ),
 s_inventory AS (
   SELECT inventory_date, store_id, product_id,
@@ -296,6 +302,7 @@ UNION ALL SELECT 'negative_unit_price', CAST(COUNT(*) FILTER (WHERE unit_price <
 UNION ALL SELECT 'negative_stock_quantity', CAST(COUNT(*) FILTER (WHERE stock_quantity < 0) AS BIGINT) FROM b_inventory""",
 }
 
+# The gold quality rules (key columns, numeric columns).
 # --- gold gate ---------------------------------------------------------------
 GATE_RULES = {
     "daily_orders": (["order_date"], ["total_orders", "cancelled_orders"]),
@@ -307,10 +314,16 @@ GATE_RULES = {
 }
 
 
-def _gate() -> str:
+def _gate(broken: bool = False) -> str:
+    """The rule table; ``broken``: daily_orders is empty and delivery_performance is missing."""
     parts = []
     for t, (keys, nums) in GATE_RULES.items():
         src = f"g_{t}"
+        if broken and t == "delivery_performance":
+            parts.append(f"SELECT '{t}', 'exists', NULL, NULL, 1")
+            continue
+        if broken and t == "daily_orders":
+            src = "(SELECT * FROM g_daily_orders WHERE false) e"
         n = f"(SELECT COUNT(*) FROM {src})"
         parts.append(f"SELECT '{t}' AS table_name, 'exists' AS rule, CAST(NULL AS VARCHAR) AS column_name, "
                      f"{n} AS n_rows, 0 AS bad_rows")
@@ -435,6 +448,14 @@ def oracle_sql() -> dict[str, str]:
     for name, body in CHECK_SQL.items():
         out[name] = _with(body, gold=False) if "WITH counts" not in body else _with_nested(body)
     out["gold_gate"] = _with(_gate())
+    # the gate over gold built from items with orphans
+    out["gold_gate_broken"] = _with(_gate(broken=True)).replace(
+        "SELECT * FROM b_order_items WHERE quantity > 0", "SELECT * FROM x_order_items WHERE quantity > 0")
+    out["silver_products_repeated"] = _with("""
+SELECT product_id, product_name, category, brand, CAST(price AS DOUBLE) AS price
+FROM (SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY product_name NULLS FIRST,
+             category NULLS FIRST, brand NULLS FIRST, price) AS rn
+      FROM x_products WHERE price >= 0) t WHERE rn = 1""", gold=False)
     for name, body in EXTENSION_SQL.items():
         out[name] = _with(body)
     return out

@@ -1,4 +1,4 @@
-"""Command line: ``python -m shelfwise run|ingest|extras|ask ...`` (see ``--help``)."""
+"""Command line: ``python -m shelfwise run|extras|ask ...`` (see ``--help``)."""
 
 from __future__ import annotations
 
@@ -8,35 +8,19 @@ import sys
 from shelfwise.session import build_session, scale_settings
 
 
-def _input_bytes(path: str) -> int:
-    """Bytes under a local bronze folder (0 for remote paths: defaults apply)."""
-    import os
-
-    if "://" in path and not path.startswith("file:"):
-        return 0
-    root = path.removeprefix("file:")
-    return sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(root) for f in fs)
-
-
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="shelfwise")
     sub = parser.add_subparsers(dest="cmd", required=True)
     run = sub.add_parser("run", help="stage bronze -> bronze checks -> silver -> gold -> gate")
     run.add_argument("bronze_dir")
     run.add_argument("out_dir")
-    run.add_argument("--single-file-gold", action="store_true")
     run.add_argument("--from", dest="start_at", default="stage",
                      choices=["stage", "check_bronze", "silver", "gold", "gate"],
                      help="resume at this step, reading the tables earlier steps wrote")
     run.add_argument("--master", default=None)
-    run.add_argument("--cores", type=int, default=0,
-                     help="total executor cores; sizes shuffle partitions to the bronze volume")
-    ingest = sub.add_parser("ingest", help="clean new bronze files of the append-only tables into silver")
-    ingest.add_argument("bronze_dir")
-    ingest.add_argument("silver_dir")
-    ingest.add_argument("--checkpoint-root", default=None,
-                        help="stream progress folder (default: spark.checkpoint.dir)")
-    ingest.add_argument("--master", default=None)
+    run.add_argument("--cores", type=int, default=0, help="total executor cores")
+    run.add_argument("--input-gb", type=float, default=0.0,
+                     help="volume of the bronze tables, local or remote; with --cores, sizes splits and shuffle partitions")
     extras = sub.add_parser("extras", help="write the extension metrics of a finished run")
     extras.add_argument("out_dir")
     extras.add_argument("--master", default=None)
@@ -47,22 +31,19 @@ def main(argv: list[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     extra = None
-    if args.cmd == "run" and args.cores:
-        extra = scale_settings(_input_bytes(args.bronze_dir), args.cores)
+    if args.cmd == "run" and (args.cores or args.input_gb):
+        extra = scale_settings(args.input_gb, args.cores)
     spark = build_session(master=args.master, extra=extra)
     from shelfwise.plans import layers
 
     if args.cmd == "run":
-        summary = layers.run_layers(spark, args.bronze_dir, args.out_dir, args.single_file_gold,
-                                    start_at=args.start_at)
+        summary = layers.run_layers(spark, args.bronze_dir, args.out_dir, start_at=args.start_at)
+        for table, lines in summary.malformed.items():
+            if lines:
+                print(f"{table}: {lines} lines with values that don't fit their types")
         for report in summary.silver_rows:
-            print(report)
+            print(f"{report.table}: kept {report.after} of {report.before}")
         print(f"gate: {len(summary.gate_rules)} rules passed")
-    elif args.cmd == "ingest":
-        from shelfwise.streaming import ingest_silver
-
-        for name, rows in ingest_silver(spark, args.bronze_dir, args.silver_dir, args.checkpoint_root).items():
-            print(f"{name}: {rows} rows read from new files")
     elif args.cmd == "extras":
         for name in layers.build_extensions(spark, args.out_dir):
             print(f"wrote {name}")

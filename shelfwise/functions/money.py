@@ -1,8 +1,8 @@
 """Money and flag expressions.
 
-Money is DECIMAL(12,2) from the scan onward so sums are exact and
-independent of partitioning; it becomes double only in the published
-projection (gold tables are read by BI tools that expect floating point).
+Money is decimal from the scan to the written gold tables and the answers
+over them, so sums are exact and independent of partitioning at any size. It
+becomes double only in the projection of a registered query's result.
 """
 
 from __future__ import annotations
@@ -10,11 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(12,2)"
+#: Prices as cleaned, and sums of them.
+MONEY, TOTAL_MONEY = "decimal(20,2)", "decimal(38,2)"
 
 
 def line_total(quantity: str = "quantity", unit_price: str = "unit_price") -> Column:
-    """quantity * unit_price, exact (INT * DECIMAL(12,2) -> DECIMAL(23,2))."""
+    """quantity * unit_price, exact."""
     return F.col(quantity) * F.col(unit_price)
 
 

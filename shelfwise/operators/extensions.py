@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwise.functions import count_when, half_up_mean, half_up_ratio, percent, published
+from shelfwise.functions import count_when, half_up_mean, half_up_ratio, percent, published, with_total
 from shelfwise.operators.gold import LATE_DELIVERY_MINUTES
 from shelfwise.operators.ranking import global_row_number, ntile_of
 
@@ -59,10 +59,8 @@ def orders_by_hour(orders: DataFrame, time_col: str = "order_time") -> DataFrame
     """Orders per hour of day with their share (1 dp); unknown times excluded."""
     hour = hour_of_day(F.col(time_col), orders.schema[time_col].dataType)
     hourly = orders.select(hour.alias("hour")).filter(F.col("hour").isNotNull())
-    total = hourly.agg(F.count(F.lit(1))).scalar()
     return (
-        hourly.groupBy("hour").agg(F.count(F.lit(1)).alias("orders"))
-        .withColumn("_total", total)
+        with_total(hourly.groupBy("hour").agg(F.count(F.lit(1)).alias("orders")), "orders")
         .select("hour", "orders", percent("orders", "_total", 1).alias("pct_of_orders"))
         .orderBy("hour")
     )
@@ -108,14 +106,14 @@ def duplicate_keys(customers: DataFrame, products: DataFrame) -> DataFrame:
     frames = []
     for name, df, key in (("customers", customers.fillna({"area": "Unknown"}), "customer_id"),
                           ("products", products, "product_id")):
-        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        per_key_distinct = df.distinct().groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        conflicting = per_key_distinct.agg(count_when(F.col("_n") > 1)).scalar()
+        # copies of a row, then the different rows of a key: one read of the table
+        per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+        per_key = per_row.groupBy(key).agg(F.sum("_copies").alias("_n"), F.count(F.lit(1)).alias("_different"))
         frames.append(per_key.agg(
             F.count(F.lit(1)).alias("keys"),
             count_when(F.col("_n") > 1).alias("repeated_keys"),
-        ).select(F.lit(name).alias("table_name"), "keys", "repeated_keys",
-                 conflicting.alias("conflicting_keys")))
+            count_when(F.col("_different") > 1).alias("conflicting_keys"),
+        ).select(F.lit(name).alias("table_name"), "keys", "repeated_keys", "conflicting_keys"))
     return frames[0].unionByName(frames[1])
 
 
@@ -176,11 +174,6 @@ def demand_by_area(order_items: DataFrame, orders: DataFrame, customers: DataFra
     customer dimension.
     """
     per_order = order_items.groupBy("order_id").agg(F.sum("quantity").alias("_u"))
-    return demand_by_area_from_units(per_order, orders, customers)
-
-
-def demand_by_area_from_units(per_order: DataFrame, orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """X9 from units already summed per order (columns ``order_id``, ``_u``)."""
     per_customer = (
         per_order.join(orders.select("order_id", "customer_id"), on="order_id")
         .groupBy("customer_id").agg(F.sum("_u").alias("_u"))

@@ -8,7 +8,7 @@ Shape rules used throughout, chosen for fact tables far larger than memory:
 * no broadcast hints: with AQE a side is broadcast only when its measured
   size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``; larger
   sides stay a sort-merge join, and skewed partitions are split by AQE;
-* money stays exact decimal until the published projection, and rounded
+* money stays exact decimal, in the written gold tables too, and rounded
   averages and percentages use exact half-up integer arithmetic.
 """
 
@@ -17,8 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import count_when, half_up_mean, line_total, percent, published
-from shelfwise.functions.rounding import cents
+from shelfwise.functions import TOTAL_MONEY, count_when, half_up_mean, line_total, percent
 
 # Stock below this (summed over stores) is low; deliveries
 # over this many minutes are late.
@@ -69,43 +68,6 @@ def product_sales(order_items: DataFrame) -> DataFrame:
     )
 
 
-# Grouping-set ids of ``item_rollups``: grouping_id over (order_id, product_id).
-_PER_ORDER, _PER_PRODUCT = 0b01, 0b10
-
-
-def item_rollups(order_items: DataFrame) -> DataFrame:
-    """Units and exact revenue per order and per product, in one pass over the items.
-
-    The item table is the largest; the file pipeline derives both the order
-    values (G0) and the product sales (G2-G4) from this single scan instead
-    of reading the items twice.
-    """
-    return (
-        order_items.groupingSets([["order_id"], ["product_id"]], "order_id", "product_id")
-        .agg(
-            F.sum("quantity").alias("units_sold"),
-            F.sum(line_total()).alias("revenue"),
-            F.grouping_id().alias("_set"),
-        )
-    )
-
-
-def order_value_from_rollups(items: DataFrame) -> DataFrame:
-    """G0 from :func:`item_rollups` (same rows as :func:`order_value`)."""
-    return items.filter(F.col("_set") == _PER_ORDER).select(
-        "order_id", F.col("revenue").alias("order_value"))
-
-
-def order_units_from_rollups(items: DataFrame) -> DataFrame:
-    """Units per order from :func:`item_rollups` (columns ``order_id``, ``units_sold``)."""
-    return items.filter(F.col("_set") == _PER_ORDER).select("order_id", "units_sold")
-
-
-def product_sales_from_rollups(items: DataFrame) -> DataFrame:
-    """Product sales from :func:`item_rollups` (same rows as :func:`product_sales`)."""
-    return items.filter(F.col("_set") == _PER_PRODUCT).select("product_id", "units_sold", "revenue")
-
-
 def join_order_values(orders: DataFrame, values: DataFrame) -> DataFrame:
     """Orders with their value (NULL without items), from a per-order value table."""
     cols = ["order_id", "customer_id", "order_date", "order_status", "store_id", "delivery_time_minutes"]
@@ -121,21 +83,20 @@ def product_performance(sales: DataFrame, products: DataFrame) -> DataFrame:
     dims = products.select("product_id", "product_name", "category", "brand")
     return sales.join(dims, on="product_id", how="left").select(
         "product_id", "product_name", "category", "brand", "units_sold",
-        published("revenue").alias("revenue"),
-    )
+        F.col("revenue").cast(TOTAL_MONEY).alias("revenue"))
 
 
 def category_performance(product_perf: DataFrame) -> DataFrame:
     """Roll-up of product performance by category, by revenue.
 
-    Revenue is re-summed as exact cents, so the result does not depend on
-    the order in which partial sums arrive.
+    Revenue is still exact decimal money here, so the result does not depend
+    on the order in which partial sums arrive.
     """
     return (
         product_perf.groupBy("category")
         .agg(
             F.sum("units_sold").alias("units_sold"),
-            published(F.sum(cents("revenue"))).alias("revenue"),
+            F.sum("revenue").cast(TOTAL_MONEY).alias("revenue"),
         )
     )
 
@@ -222,7 +183,7 @@ def _locations(per_customer: DataFrame, customers: DataFrame) -> DataFrame:
         .groupBy("city", "area")
         .agg(
             F.sum("_orders").alias("total_orders"),
-            published(F.sum("_value")).alias("total_revenue"),
+            F.sum("_value").cast(TOTAL_MONEY).alias("total_revenue"),
         )
     )
 

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import count_when, half_up_mean, percent
+from shelfwise.functions import count_when, half_up_mean, percent, with_total
 
 # The foreign keys checked (label, fact table, fk column,
 # dimension table, key column) and the business columns that identify a
@@ -89,13 +89,9 @@ def status_distribution(tables: dict[str, DataFrame]) -> DataFrame:
 
     NULL statuses are not a group but stay in the denominator.
     """
-    orders = tables["orders"]
-    total = orders.agg(F.count(F.lit(1))).scalar()
+    counts = tables["orders"].groupBy("order_status").agg(F.count(F.lit(1)).alias("n"))
     return (
-        orders.filter(F.col("order_status").isNotNull())
-        .groupBy("order_status")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_total", total)
+        with_total(counts, "n").filter(F.col("order_status").isNotNull())
         .select("order_status", "n", percent("n", "_total", 1).alias("pct"))
         .orderBy(F.desc("n"), F.asc("order_status"))
     )
@@ -106,8 +102,9 @@ def slow_stores(tables: dict[str, DataFrame], k: int = SLOW_STORES_K) -> DataFra
     minutes = F.col("delivery_time_minutes")
     return (
         tables["orders"]
+        .withColumn("store_id", F.col("store_id").try_cast("int"))  # an id that is no int is no store
         .filter((minutes > 0) & F.col("store_id").isNotNull())
-        .groupBy(F.col("store_id").cast("int").alias("store_id"))
+        .groupBy("store_id")
         .agg(F.sum(minutes).alias("_s"), F.count(minutes).alias("_c"))
         .orderBy((F.col("_s") / F.col("_c")).desc(), F.asc("store_id"))
         .limit(k)

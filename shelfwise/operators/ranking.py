@@ -7,9 +7,8 @@ partitions through the tie-break columns), sorted within partitions, and
 numbered by ``monotonically_increasing_id`` (partition index in the upper
 31 bits, position in the lower 33). The numbered rows are checkpointed to
 the shared checkpoint directory so both passes below see one
-materialisation; per-partition counts give each partition its offset. The
-offset table has one row per partition, at most ``MAX_RANK_PARTITIONS``, so
-it is safe to broadcast.
+materialisation; per-partition counts give each partition its offset. How
+the offsets (one row a partition) are joined is left to the optimizer.
 """
 
 from __future__ import annotations
@@ -20,11 +19,6 @@ from pyspark.sql import functions as F
 from shelfwise.session import ensure_checkpoint_dir
 
 _LOW_BITS = 33
-# Range partitions used by default: the session's shuffle fan-out, capped so
-# the broadcast offset table (one row per partition) stays small however the
-# session is sized; the ranked inputs are per-product aggregates, for which
-# this still leaves large partitions to sort in parallel.
-MAX_RANK_PARTITIONS = 1024
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "row_number",
@@ -32,7 +26,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     """Add a 1-based row number over ``order``, which must be a total order."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANK_PARTITIONS)
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     staged = (
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
@@ -49,7 +43,7 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "row_numbe
     local = F.col("_rid") - F.shiftleft(F.col("_part"), _LOW_BITS)
     return (
         staged.withColumn("_part", part)
-        .join(F.broadcast(offsets), on="_part")
+        .join(offsets, on="_part")
         .withColumn(name, local + F.col("_offset") + 1)
         .drop("_part", "_rid", "_offset")
     )

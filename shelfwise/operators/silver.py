@@ -6,9 +6,11 @@ are built-in expressions; the only shuffles are the two de-duplications.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions import MONEY
+
 
 def clean_customers(df: DataFrame) -> DataFrame:
     """Fill a missing area with 'Unknown', then drop whole-row duplicates.
@@ -41,13 +43,14 @@ def clean_order_items(df: DataFrame) -> DataFrame:
     """Keep positive quantities and non-negative prices (NULL fails both).
 
     Duplicate business rows are kept, as in the source pipeline; the
-    duplicate check reports them.
+    duplicate check reports them. Prices become cents, rounded half-up.
     """
-    return df.filter(F.col("quantity") > 0).filter(F.col("unit_price") >= 0)
+    return (df.filter(F.col("quantity") > 0).filter(F.col("unit_price") >= 0)
+            .withColumn("unit_price", F.round("unit_price", 2).cast(MONEY)))
 
 
-def dedup_by_key(df: DataFrame, key: str) -> DataFrame:
-    """One row per ``key``: the smallest row under the order of the other columns.
+def dedup_by_key(df: DataFrame, key: str, better: Column | None = None) -> DataFrame:
+    """One row per ``key``: of those for which ``better`` holds, if any, the smallest under the order of the other columns.
 
     Written as ``min(struct)`` per key rather than ``row_number`` over a
     window, so it is an aggregate with a partial (map-side) step (Spark
@@ -57,17 +60,20 @@ def dedup_by_key(df: DataFrame, key: str) -> DataFrame:
     deterministic, unlike ``dropDuplicates([key])``.
     """
     others = [c for c in df.columns if c != key]
-    survivor = F.min(F.struct(*[F.col(c) for c in others])).alias("_row")
+    worse = F.lit(False) if better is None else ~F.coalesce(better, F.lit(False))
+    survivor = F.min(F.struct(worse.alias("_worse"), *[F.col(c) for c in others])).alias("_row")
     return df.groupBy(key).agg(survivor).select(key, *[F.col(f"_row.{c}").alias(c) for c in others])
 
 
 def clean_products(df: DataFrame) -> DataFrame:
     """C4: one row per product id, then drop negative prices.
 
-    The key de-duplication runs before the price filter, so an id whose
-    surviving row has a bad price disappears.
+    The source keeps an arbitrary row of a repeated id before it filters
+    prices. Here a row with a valid price is kept if the id has one, so only
+    ids without any valid price disappear.
     """
-    return dedup_by_key(df, "product_id").filter(F.col("price") >= 0)
+    valid = F.col("price") >= 0
+    return dedup_by_key(df.withColumn("price", F.round("price", 2).cast(MONEY)), "product_id", valid).filter(valid)
 
 
 def clean_inventory(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.functions import count_when, half_up_mean, percent, published
+from shelfwise.functions import TOTAL_MONEY, count_when, half_up_mean, percent, with_total
 from shelfwise.functions.rounding import cents
 
 TOP_K = 10
@@ -53,14 +53,13 @@ def top_products(perf: DataFrame, k: int = TOP_K) -> DataFrame:
 def category_share(categories: DataFrame) -> DataFrame:
     """Q4: categories with their share of total revenue (1 dp).
 
-    The total is a scalar subquery rather than ``sum() over ()``, so no
-    window pulls the table into a single partition.
+    The total comes from the category rows themselves, so the tables under
+    them are read once.
     """
-    total = categories.agg(F.sum(cents("revenue"))).scalar()
     return (
-        categories.withColumn("_total", total).select(
+        with_total(categories.select("category", "units_sold", "revenue"), "revenue").select(
             "category", "units_sold", "revenue",
-            percent(cents("revenue"), "_total", 1).alias("pct_of_total_revenue"),
+            percent("revenue", "_total", 1).alias("pct_of_total_revenue"),
         )
         .orderBy(F.desc_nulls_last("revenue"), F.asc_nulls_last("category"))
     )
@@ -118,7 +117,7 @@ def city_revenue(locations: DataFrame) -> DataFrame:
         locations.groupBy("city")
         .agg(
             F.sum("total_orders").alias("total_orders"),
-            published(F.sum(cents("total_revenue"))).alias("total_revenue"),
+            F.sum("total_revenue").cast(TOTAL_MONEY).alias("total_revenue"),
         )
         .orderBy(F.desc_nulls_last("total_revenue"), F.asc_nulls_last("city"))
     )

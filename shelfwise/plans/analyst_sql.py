@@ -75,7 +75,7 @@ QUESTION_SQL = {
         LIMIT 10""",
     "q10_city_revenue": f"""
         SELECT city, SUM(total_orders) AS total_orders,
-               CAST(SUM({_CENTS.format('total_revenue')}) AS DOUBLE) AS total_revenue
+               CAST(SUM(total_revenue) AS DECIMAL(38,2)) AS total_revenue
         FROM location_insights
         GROUP BY city
         ORDER BY total_revenue DESC NULLS LAST, city ASC NULLS LAST""",

@@ -14,9 +14,11 @@ jobs.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwise.operators import extensions as ext
 from shelfwise.operators import gate as gate_ops
@@ -58,7 +60,7 @@ class LayerPaths:
 @dataclass
 class RunSummary:
     silver_rows: list[io.RowReport] = field(default_factory=list)
-    single_file_gold: dict[str, bool] = field(default_factory=dict)
+    malformed: dict[str, int] = field(default_factory=dict)
     gate_rules: list[str] = field(default_factory=list)
 
 
@@ -71,12 +73,22 @@ def stage_bronze(spark: SparkSession, bronze_dir: str, staged_dir: str,
 
 
 def read_staged(spark: SparkSession, staged_dir: str) -> dict[str, DataFrame]:
-    return {name: io.read_layer(spark, staged_dir, name) for name in TABLES}
+    """The staged tables, without the column for malformed lines."""
+    return {name: io.read_layer(spark, staged_dir, name).drop(io.MALFORMED) for name in TABLES}
 
 
-def validate_bronze(bronze: dict[str, DataFrame], report_dir: str) -> dict[str, DataFrame]:
-    """Profile bronze (B1-B7) and write each report; report-only, never fails."""
+def malformed_lines(spark: SparkSession, staged_dir: str) -> DataFrame:
+    """Per table: staged lines that had a value which does not fit its declared type."""
+    frames = [io.read_layer(spark, staged_dir, name).select(F.lit(name).alias("table_name"), io.MALFORMED)
+              .groupBy("table_name").agg(F.count(io.MALFORMED).alias("n")) for name in TABLES]
+    return reduce(DataFrame.unionByName, frames)
+
+
+def validate_bronze(bronze: dict[str, DataFrame], report_dir: str, staged_dir: str | None = None) -> dict[str, DataFrame]:
+    """Profile bronze (B1-B7, malformed lines) and write each report; report-only, never fails."""
     checks = profile_bronze(bronze)
+    if staged_dir:
+        checks["check_malformed"] = malformed_lines(next(iter(bronze.values())).sparkSession, staged_dir)
     for name, df in checks.items():
         io.write_table(df, report_dir, name)
     spark = next(iter(bronze.values())).sparkSession
@@ -94,31 +106,32 @@ def build_silver_layer(bronze: dict[str, DataFrame], silver_dir: str) -> list[io
 def cached_gold(silver: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], list[DataFrame]]:
     """The six gold tables over persisted shared aggregates; returns (tables, cached).
 
-    Each fact table is read once: one grouping-sets pass over the items
-    gives order values and product sales, one over the orders (joined to
-    their values) gives the per-date, per-store and per-customer figures.
-    Only these aggregates are persisted (memory, spilling to disk), never a
-    row per item; a lost block is recomputed from lineage. Unpersist the
+    The items are aggregated per order and per product, each from its own
+    column-pruned scan: the order values feed the join with the orders on
+    the same key, one exchange of the items; the product sales serve three
+    tables. One grouping-sets pass over the joined orders gives the
+    per-date, per-store and per-customer figures. Only the product sales and
+    those figures are persisted (memory, spilling to disk), never a row per
+    item or order; a lost block is recomputed from lineage. Unpersist the
     returned frames when the tables are written.
     """
-    items = gold_ops.item_rollups(silver["order_items"]).persist(StorageLevel.MEMORY_AND_DISK)
-    valued = gold_ops.join_order_values(silver["orders"], gold_ops.order_value_from_rollups(items))
+    sales = gold_ops.product_sales(silver["order_items"]).persist(StorageLevel.MEMORY_AND_DISK)
+    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"])
     rollups = gold_ops.order_rollups(valued).persist(StorageLevel.MEMORY_AND_DISK)
-    sales = gold_ops.product_sales_from_rollups(items)
-    return gold_ops.build_gold(silver, rollups=rollups, sales=sales), [rollups, items]
+    return gold_ops.build_gold(silver, rollups=rollups, sales=sales), [rollups, sales]
 
 
-def build_gold_layer(spark: SparkSession, silver_dir: str, gold_dir: str,
-                     single_file: bool = False) -> dict[str, bool]:
-    """Compute and write the six gold tables from silver Parquet (see :func:`cached_gold`)."""
+def build_gold_layer(spark: SparkSession, silver_dir: str, gold_dir: str) -> list[str]:
+    """Compute and write the six gold tables from silver Parquet (see :func:`cached_gold`)."""
     silver = {name: io.read_layer(spark, silver_dir, name) for name in TABLES}
     tables, cached = cached_gold(silver)
     try:
-        return {name: io.write_gold(gold_ops.presented(name, df), gold_dir, name, single_file)
-                for name, df in tables.items()}
+        for name, df in tables.items():
+            io.write_table(gold_ops.presented(name, df), gold_dir, name)
     finally:
         for df in cached:
             df.unpersist()
+    return list(tables)
 
 
 def validate_gold(spark: SparkSession, gold_dir: str, report_dir: str | None = None) -> list[str]:
@@ -135,8 +148,7 @@ STEPS = ("stage", "check_bronze", "silver", "gold", "gate")
 
 
 def run_layers(spark: SparkSession, bronze_dir: str, out_dir: str,
-               single_file_gold: bool = False, null_value: str | None = None,
-               start_at: str = "stage") -> RunSummary:
+               null_value: str | None = None, start_at: str = "stage") -> RunSummary:
     """Stage bronze -> bronze checks -> silver -> gold -> gate, stopping on the first failure.
 
     ``start_at`` resumes a failed run at one of :data:`STEPS`: earlier steps
@@ -152,11 +164,12 @@ def run_layers(spark: SparkSession, bronze_dir: str, out_dir: str,
     elif todo & {"check_bronze", "silver"}:
         bronze = read_staged(spark, paths.staged)
     if "check_bronze" in todo:
-        validate_bronze(bronze, paths.reports)
+        reports = validate_bronze(bronze, paths.reports, paths.staged)
+        summary.malformed = {r["table_name"]: r["n"] for r in reports["check_malformed"].collect()}  # five rows
     if "silver" in todo:
         summary.silver_rows = build_silver_layer(bronze, paths.silver)
     if "gold" in todo:
-        summary.single_file_gold = build_gold_layer(spark, paths.silver, paths.gold, single_file_gold)
+        build_gold_layer(spark, paths.silver, paths.gold)
     summary.gate_rules = validate_gold(spark, paths.gold, paths.reports)
     return summary
 
@@ -168,22 +181,14 @@ def answer_questions(spark: SparkSession, gold_dir: str) -> dict[str, DataFrame]
     return answer_all(gold)
 
 
-def extension_tables(spark: SparkSession, out_dir: str,
-                     items: DataFrame | None = None) -> dict[str, DataFrame]:
-    """X1-X12 over a finished layer run (staged bronze, silver and gold), lazily.
-
-    X1, X7 and X9 share one pass over the items (``item_rollups`` of silver
-    order items); pass a persisted copy as ``items`` to compute it once.
-    """
+def extension_tables(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
+    """X1-X12 over a finished layer run (staged bronze, silver and gold), lazily."""
     paths = LayerPaths(out_dir)
     bronze = read_staged(spark, paths.staged)
     silver = {name: io.read_layer(spark, paths.silver, name) for name in TABLES}
     health = io.read_layer(spark, paths.gold, "inventory_health")
-    if items is None:
-        items = gold_ops.item_rollups(silver["order_items"])
-    sales = gold_ops.product_sales_from_rollups(items)
-    valued = gold_ops.join_order_values(silver["orders"], gold_ops.order_value_from_rollups(items))
-    units = gold_ops.order_units_from_rollups(items).withColumnRenamed("units_sold", "_u")
+    sales = gold_ops.product_sales(silver["order_items"])
+    valued = gold_ops.orders_with_value(silver["orders"], silver["order_items"])
     return {
         "x01_demand_concentration": ext.demand_concentration(sales),
         "x02_orders_by_hour": ext.orders_by_hour(silver["orders"]),
@@ -193,7 +198,7 @@ def extension_tables(spark: SparkSession, out_dir: str,
         "x06_latest_snapshot": ext.latest_per_pair(silver["inventory"]),
         "x07_weighted_aov": ext.weighted_aov(valued),
         "x08_delivery_by_location": ext.delivery_by_location(silver["orders"], silver["customers"]),
-        "x09_demand_by_area": ext.demand_by_area_from_units(units, silver["orders"], silver["customers"]),
+        "x09_demand_by_area": ext.demand_by_area(silver["order_items"], silver["orders"], silver["customers"]),
         "x10_demand_stock_ratio": ext.demand_stock_ratio(health),
         "x11_stockout_by_decile": ext.stockout_by_decile(health),
         "x12_missing_snapshots": ext.missing_snapshots(silver["inventory"]),
@@ -201,17 +206,8 @@ def extension_tables(spark: SparkSession, out_dir: str,
 
 
 def build_extensions(spark: SparkSession, out_dir: str) -> list[str]:
-    """Write every extension table under ``<out_dir>/extensions``; returns their names.
-
-    The item aggregate shared by X1, X7 and X9 is persisted for the writes.
-    """
-    paths = LayerPaths(out_dir)
-    items = gold_ops.item_rollups(io.read_layer(spark, paths.silver, "order_items")).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    try:
-        tables = extension_tables(spark, out_dir, items)
-        for name, df in tables.items():
-            io.write_table(df, paths.extensions, name)
-    finally:
-        items.unpersist()
+    """Write every extension table under ``<out_dir>/extensions``; returns their names."""
+    tables = extension_tables(spark, out_dir)
+    for name, df in tables.items():
+        io.write_table(df, LayerPaths(out_dir).extensions, name)
     return list(tables)

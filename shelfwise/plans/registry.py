@@ -2,9 +2,10 @@
 
 Every entry is ``(spark, sf_dir) -> DataFrame``: bronze is derived from the
 given tables by the fixture adapter, then cleaned and aggregated by the same
-functions the file pipeline uses. Nothing is collected; each query is one
-lazy plan over whole tables, and only the tables a query depends on are
-built.
+functions the file pipeline uses. Nothing is collected, and only the tables
+a query depends on are built. Each query is one lazy plan over whole tables,
+but for X1 and X11: building them runs the job that ranks the products and
+checkpoints the ranked rows.
 """
 
 from __future__ import annotations
@@ -93,6 +94,16 @@ def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return Layers(spark, sf_dir).all_gold()
 
 
+def broken_gate(layers: Layers) -> DataFrame:
+    """The gate over gold from items with orphans, with an empty and a missing table: V1 to V3 must fail."""
+    items = silver.clean_order_items(layers.checks_input()["order_items"])
+    tables: dict[str, DataFrame | None] = dict(gold.build_gold(
+        {**{name: layers.silver(name) for name in SILVER_NAMES}, "order_items": items}))
+    tables["daily_orders"] = tables["daily_orders"].filter(F.lit(False))
+    tables["delivery_performance"] = None
+    return gate.gate(layers.spark, tables)
+
+
 def _q(build: Callable[[Layers], DataFrame]) -> Query:
     return lambda spark, sf_dir: build(Layers(spark, sf_dir))
 
@@ -103,12 +114,15 @@ def queries() -> dict[str, Query]:
         out[f"silver_{name}"] = _q(lambda L, n=name: publish(L.silver(n)))
     out["order_value"] = _q(lambda L: publish(gold.order_value(L.silver("order_items"))))
     for name in GOLD_NAMES:
-        out[name] = _q(lambda L, n=name: L.gold(n))
+        out[name] = _q(lambda L, n=name: publish(L.gold(n)))
     for name, (table, fn) in analyst.QUESTIONS.items():
-        out[name] = _q(lambda L, t=table, f=fn: f(L.gold(t)))
+        out[name] = _q(lambda L, t=table, f=fn: publish(f(L.gold(t))))
     for name, fn in profile.CHECKS.items():
         out[name] = _q(lambda L, f=fn: f(L.checks_input()))
     out["gold_gate"] = _q(lambda L: gate.gate(L.spark, L.all_gold()))
+    out["gold_gate_broken"] = _q(broken_gate)
+    out["silver_products_repeated"] = _q(lambda L: publish(
+        silver.clean_products(fixtures.repeated_products(L.spark, L.sf_dir))))
     out.update({
         "x01_demand_concentration": _q(lambda L: extensions.demand_concentration(L.sales)),
         "x02_orders_by_hour": _q(lambda L: extensions.orders_by_hour(fixtures.order_events(L.spark, L.sf_dir))),

@@ -28,21 +28,26 @@ SESSION_DEFAULTS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 ** 2
+#: Parquet is about so much smaller than the CSV that bronze is, and what a
+#: shuffle moves about so much smaller than the Parquet it was aggregated from.
+CSV_TO_COLUMNS, COLUMNS_TO_SHUFFLE = 0.25, 0.5
+SPLIT_MB = PARTITION_MB = 512
 
 
-def scale_settings(input_bytes: int, total_cores: int) -> dict[str, str]:
-    """Partition sizing for a run over ``input_bytes`` of input on ``total_cores``.
+def scale_settings(input_gb: float, total_cores: int) -> dict[str, str]:
+    """Settings for a run over ``input_gb`` of bronze CSV on ``total_cores``.
 
-    The initial shuffle fan-out aims at ~128 MB per partition (AQE coalesces
-    down from there), never below two waves of the cluster's cores; file
-    splits stay at 128 MB so a scan task fits comfortably in executor memory.
+    A scan task reads about ``SPLIT_MB`` and a shuffle partition holds about
+    ``PARTITION_MB`` of pre-aggregated columns, never fewer of them than two
+    waves of the cores; AQE merges what turns out smaller. At 100 TB these
+    are some 25,000 partitions, a number that a driver can track.
     """
-    partitions = max(2 * total_cores, math.ceil(input_bytes / SHUFFLE_PARTITION_BYTES))
+    shuffled = input_gb * 1024 * CSV_TO_COLUMNS * COLUMNS_TO_SHUFFLE
+    partitions = max(2 * total_cores, math.ceil(shuffled / PARTITION_MB), 1)
     return {
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(SHUFFLE_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": f"{SPLIT_MB}m",
     }
 
 
@@ -65,7 +70,6 @@ def build_session(master: str | None = "local[*]", app_name: str = "shelfwise",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
-    ensure_checkpoint_dir(spark)
     return spark
 
 

@@ -15,19 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-# Footer-inferred schema per file path: inference costs a footer read on
-# every call, so each path is inferred once per process and then declared.
-_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _null_when(cond: Column, value: Column) -> Column:
@@ -41,8 +30,8 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     # nation (25 rows) and region (5 rows) are fixed by the TPC-H schema at
     # every scale factor: a proven bound, so they are broadcast.
     base = (
-        c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
-        .join(F.broadcast(r), n.n_regionkey == r.r_regionkey)
+        c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+        .join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
         .select(
             F.col("c_custkey").alias("customer_id"),
             F.col("c_name").alias("customer_name"),
@@ -64,6 +53,16 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def repeated_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``products`` with ids that repeat with a negative or no price, and ids that only have a negative one."""
+    base = products(spark, sf_dir)
+    bad = base.filter(F.col("product_id") % 20 == 3).withColumn("price", F.lit(-5).cast("decimal(12,2)"))
+    none = base.filter(F.col("product_id") % 20 == 4).withColumn("price", F.lit(None).cast("decimal(12,2)"))
+    only = (base.filter(F.col("product_id") % 50 == 5).withColumn("product_id", F.col("product_id") + 1000000)
+            .withColumn("price", F.lit(-1).cast("decimal(12,2)")))
+    return base.unionByName(bad).unionByName(none).unionByName(only)
+
+
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _read(spark, sf_dir, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -121,7 +120,7 @@ def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order placement times: purchase events stand in for orders' time of day."""
+    """Order placement times: purchase events stand in for orders, so other events are none (FIXTURES.md)."""
     ev = _read(spark, sf_dir, "events")
     return ev.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("order_id"), F.col("ts").alias("order_time"))

@@ -13,9 +13,13 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise.sources.schemas import BRONZE
 
+#: Column of staged tables that holds a CSV line with values that don't fit their types, else NULL.
+MALFORMED = "_malformed_line"
+
 
 def table_path(base: str, name: str, ext: str = "parquet") -> str:
     return f"{base.rstrip('/')}/{name}.{ext}"
@@ -29,13 +33,16 @@ def read_bronze_csv(spark: SparkSession, base: str, name: str,
     (``enforceSchema`` off), so a file with reordered or renamed columns
     fails instead of being read by position. Only empty fields are NULL by
     default; pass ``null_value`` (for example ``"NA"``) when the producer
-    writes missing values as a marker.
+    writes missing values as a marker. A line with a value that does not fit
+    its declared type keeps its other values, and is itself kept in
+    ``MALFORMED``, so that it can be reported instead of vanishing.
     """
     reader = (
-        spark.read.schema(BRONZE[name])
+        spark.read.schema(T.StructType([*BRONZE[name].fields, T.StructField(MALFORMED, T.StringType())]))
         .option("header", True)
         .option("enforceSchema", False)
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", MALFORMED)
     )
     if null_value is not None:
         reader = reader.option("nullValue", null_value)
@@ -67,31 +74,17 @@ def read_if_exists(spark: SparkSession, base: str, name: str) -> DataFrame | Non
 
 
 def write_table(df: DataFrame, base: str, name: str, partition_by: str | None = None) -> None:
-    """S3: full overwrite of a Parquet table, optionally partitioned by a column."""
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(table_path(base, name))
-
-
-# A gold table is an aggregate whose size is set by a dimension (days, stores,
-# products, areas), not by the fact tables. The single-file export is only
-# allowed under this bound; larger tables are written distributed.
-SINGLE_FILE_MAX_ROWS = 5_000_000
+    """S3: full overwrite of a Parquet table, optionally partitioned by a column.
 
-
-def write_gold(df: DataFrame, base: str, name: str, single_file: bool = False,
-               max_rows: int = SINGLE_FILE_MAX_ROWS) -> bool:
-    """Write a gold table; one file when asked and the table is small.
-
-    Returns True when a single file was written. The row bound is checked
-    with a count before any data is funnelled through one task.
+    A partitioned table is first rebalanced on that column, so a partition
+    gets a few files of the advisory size (AQE splits a large one) instead
+    of one from every task.
     """
-    if single_file and df.count() <= max_rows:
-        df.coalesce(1).write.mode("overwrite").parquet(table_path(base, name))
-        return True
-    write_table(df, base, name)
-    return False
+    if partition_by:
+        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(
+            table_path(base, name))
+    else:
+        df.write.mode("overwrite").parquet(table_path(base, name))
 
 
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
@@ -112,9 +105,6 @@ class RowReport:
     def removed(self) -> int:
         return self.before - self.after
 
-    def __str__(self) -> str:
-        return f"{self.table:15s}: {self.before:>12,} rows -> {self.after:>12,} rows ({self.removed:,} removed)"
-
 
 def observed_write(raw: DataFrame, clean, base: str, name: str,
                    partition_by: str | None = None) -> RowReport:

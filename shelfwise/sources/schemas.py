@@ -23,7 +23,7 @@ BRONZE = {
         T.StructField("product_name", T.StringType()),
         T.StructField("category", T.StringType()),
         T.StructField("brand", T.StringType()),
-        T.StructField("price", T.DecimalType(12, 2)),
+        T.StructField("price", T.DecimalType(22, 4)),
     ]),
     "orders": T.StructType([
         T.StructField("order_id", T.LongType()),
@@ -38,14 +38,14 @@ BRONZE = {
         T.StructField("order_item_id", T.LongType()),
         T.StructField("order_id", T.LongType()),
         T.StructField("product_id", T.LongType()),
-        T.StructField("quantity", T.IntegerType()),
-        T.StructField("unit_price", T.DecimalType(12, 2)),
+        T.StructField("quantity", T.LongType()),
+        T.StructField("unit_price", T.DecimalType(22, 4)),
     ]),
     "inventory": T.StructType([
         T.StructField("inventory_date", T.DateType()),
         T.StructField("store_id", T.IntegerType()),
         T.StructField("product_id", T.LongType()),
-        T.StructField("stock_quantity", T.IntegerType()),
+        T.StructField("stock_quantity", T.LongType()),
     ]),
 }
 

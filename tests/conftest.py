@@ -15,11 +15,13 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
+    from shelfwise.session import SESSION_DEFAULTS
+
     session = (
         SparkSession.builder.master("local[*]")
+        .config(map=SESSION_DEFAULTS)
         .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,7 +1,6 @@
-"""Checkpoint folders: taken from the session, stable across sessions for streams."""
+"""Checkpoint folders: taken from the session."""
 
 from shelfwise.session import SESSION_DEFAULTS, ensure_checkpoint_dir
-from shelfwise.streaming.ingest import stream_checkpoint
 
 
 def test_checkpoint_dir_is_read_from_the_session(spark):
@@ -9,15 +8,6 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     assert ensure_checkpoint_dir(spark) == current  # an existing setting is never replaced
 
 
-def test_stream_progress_folder_is_stable(spark):
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    path = stream_checkpoint(spark, "orders")
-    assert path.endswith("/shelfwise-stream/orders")
-    if configured:  # the configured root, not the per-context subfolder Spark adds
-        assert path == f"{configured.rstrip('/')}/shelfwise-stream/orders"
-    assert stream_checkpoint(spark, "orders", root="/shared/ckpt") == "/shared/ckpt/shelfwise-stream/orders"
-
-
 def test_broadcasts_are_decided_on_measured_sizes():
     assert SESSION_DEFAULTS["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert SESSION_DEFAULTS["spark.sql.adaptive.enabled"] == "true"

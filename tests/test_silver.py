@@ -41,15 +41,18 @@ def test_order_items_filters_keep_duplicates(spark):
     assert sorted(r.order_item_id for r in out.collect()) == [1, 2]
 
 
-def test_products_dedup_before_price_filter(spark):
+def test_products_keep_a_row_with_a_valid_price(spark):
     rows = [
-        (1, "apple", "fruit", "b1", Decimal("-1.00")),  # survivor (smallest name) has a bad price
+        (1, "apple", "fruit", "b1", Decimal("-1.00")),
         (1, "banana", "fruit", "b1", Decimal("3.00")),
+        (3, "plum", "fruit", "b1", None),
+        (3, "plum", "fruit", "b1", Decimal("7.00")),
+        (4, "fig", "fruit", "b1", Decimal("-2.00")),  # no valid row: the id goes
         (2, "pear", "fruit", "b2", Decimal("1.00")),
         (2, "pear", "fruit", "b2", Decimal("1.00")),
     ]
     out = silver.clean_products(spark.createDataFrame(rows, BRONZE["products"]))
-    assert [(r.product_id, r.product_name) for r in out.collect()] == [(2, "pear")]
+    assert sorted((r.product_id, r.product_name) for r in out.collect()) == [(1, "banana"), (2, "pear"), (3, "plum")]
     assert out.columns == ["product_id", "product_name", "category", "brand", "price"]
 
 
