@@ -41,7 +41,10 @@ REGISTERS, BAND = 128, 4
 BASE, RATE = 1.001, 20.0
 LIMIT = 65535
 SLACK = 5.5
-BLOCK = 512
+#: Nodes, and shingles of all its nodes, in a block of step 4, about.
+BLOCK, BLOCK_SHINGLES = 2048, 2_000_000
+#: Rows, and sets, in a partition of an intermediate table, about.
+ROWS, SETS = 200_000, 10_000
 #: Rounds of the support test of step 4; more only save comparisons.
 SUPPORT_ROUNDS = 2
 
@@ -199,7 +202,7 @@ def _compare_blocks(threshold: int):
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("block", "ascending"), ("node", "ascending")])
-        band = table.column("band")[0].as_py()
+        band = table.column("bucket")[0].as_py() & (REGISTERS // BAND - 1)
         block = table.column("block").to_numpy()
         second = block != min(table.column("low")[0].as_py(), table.column("high")[0].as_py())
         same = table.column("low")[0].as_py() == table.column("high")[0].as_py()
@@ -258,16 +261,18 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
         _sketch(shingle), f"id {id_type}, key long, n long, node long, regs binary"))
     nodes = sketches.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.max("n").alias("n"),
                                                         F.max("regs").alias("regs"))
-    width = 2 * BAND
-    banded = nodes.select("node", F.posexplode(F.array(*[
-        F.substring("regs", 1 + k * width, width) for k in range(REGISTERS // BAND)])).alias("band", "value"))
-    shared = banded.groupBy("band", "value").agg(F.count("*").alias("size"), F.min("node").alias("center")).where("size > 1")
-    members = saved(banded.join(shared.drop("size"), ["band", "value"]))
+    # a bucket is a hash of the band's registers whose lowest bits name the band; dealt once, used twice
+    width, bands = 2 * BAND, REGISTERS // BAND
+    banded = nodes.select("node", F.explode(F.array(*[
+        F.xxhash64(F.substring("regs", 1 + k * width, width)).bitwiseAND(-bands).bitwiseOR(k) for k in range(bands)
+    ])).alias("bucket")).repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket")
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("center")).where("size > 1")
+    members = saved(banded.join(shared.drop("size"), "bucket"), ROWS)
     candidates = members.select("node").distinct().join(nodes, "node")
     texts = rows.withColumnRenamed("id", "first").join(candidates.select("first", "node", "n", "regs"), "first")
     sets = saved(texts.select("node", "n", "regs", "text").mapInArrow(
         _sets(shingle), "node long, n long, regs binary, shingles binary").groupBy("node")
-        .agg(F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("shingles").alias("shingles")))
+        .agg(F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("shingles").alias("shingles")), SETS)
 
     pairs = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
     right = sets.select(F.col("node").alias("b"), F.col("n").alias("n2"), F.col("regs").alias("regs2"),
@@ -275,12 +280,12 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
     links = (pairs.join(sets.withColumnRenamed("node", "a"), "a").join(right, "b")
              .select("a", "b", "n", "n2", "regs", "regs2", "shingles", "shingles2")
              .mapInArrow(_verify(threshold), "a long, b long"))
-    found = saved(components(links))
+    found = saved(components(links), ROWS)
 
-    left = _open(members.select("band", "value", "node").join(found, "node", "left")
+    left = _open(members.select("bucket", "node").join(found, "node", "left")
                  .withColumn("component", F.coalesce("component", "node")).join(sets.select("node", "n"), "node"))
     for _ in range(SUPPORT_ROUNDS):
-        left = saved(left)
+        left = saved(left, ROWS)
         alone = (sets.join(left.select("node").distinct(), "node").select("node", "n", "shingles")
                  .mapInArrow(_explode_shingles, "node long, shingle long")
                  .groupBy("shingle").agg(F.count("*").alias("c"), F.min("node").alias("node")).where("c = 1")
@@ -288,19 +293,19 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
         # |A n B| >= t/(1+t) (|A|+|B|), so a partner of a node with s shared shingles has at most (1+t)/t s - |A|
         reach = (left.join(alone, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
                  .withColumn("most", F.col("n") - F.col("alone") + (F.col("n") - F.col("alone")) * 100 / threshold - F.col("n")))
-        smallest = left.groupBy("band", "value").agg(F.min("n").alias("low"))
-        left = _open(reach.join(smallest, ["band", "value"]).where("most >= low - 1e-6")
-                     .select("band", "value", "node", "component", "n"))
-    left = saved(left)
-    sized = left.join(left.groupBy("band", "value").agg(F.count("*").alias("size")), ["band", "value"])
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int")
+        smallest = left.groupBy("bucket").agg(F.min("n").alias("low"))
+        left = _open(reach.join(smallest, "bucket").where("most >= low - 1e-6")
+                     .select("bucket", "node", "component", "n"))
+    left = saved(left, ROWS)
+    sized = left.join(left.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("shingles")), "bucket")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     paired = (sized.withColumn("blocks", blocks).withColumn("block", block)
               .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-              .select("band", "value", "low", "high", "block", "node", "component")
+              .select("bucket", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
+                      "block", "node", "component")
               .join(sets, "node"))
-    more = paired.groupBy("band", "value", "low", "high").applyInArrow(_compare_blocks(threshold), "a long, b long")
+    more = paired.groupBy("bucket", "low", "high").applyInArrow(_compare_blocks(threshold), "a long, b long")
     label = found.select(F.col("node").alias("a"), F.col("component").alias("ca"))
     label2 = found.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     merged = components(more.join(label, "a", "left").join(label2, "b", "left")
@@ -318,9 +323,9 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
 
 def _open(members: DataFrame) -> DataFrame:
     """The rows of buckets whose nodes lie in more than one component."""
-    mixed = (members.groupBy("band", "value").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
-             .where("c1 <> c2").select("band", "value"))
-    return members.join(mixed, ["band", "value"])
+    mixed = (members.groupBy("bucket").agg(F.min("component").alias("c1"), F.max("component").alias("c2"))
+             .where("c1 <> c2").select("bucket"))
+    return members.join(mixed, "bucket")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
