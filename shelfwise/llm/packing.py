@@ -26,6 +26,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -35,13 +36,15 @@ from shelfwise.llm.words import WHITE_SPACE, slices, span_hashes, utf8
 SIZE = 1024
 END_ID = 2
 #: Word units whose ids a Python worker remembers.
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 2_000_000
 #: Parts in which the pieces of each length are numbered.
 PARTS = 64
 
 #: White space beyond that of words; near it, units are not looked at one by one.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
+_SPACES = " \t\n\x0b\x0c\r"
+
 _encoders: dict[str, "UnitEncoder"] = {}
 
 
@@ -71,6 +74,9 @@ class UnitEncoder:
         ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()
                  if all(c in byte for c in token) and i < len(model["merges"]) + 256}
         self._encoding = tiktoken.Encoding("units", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
+        for token, i in ranks.items():
+            self._bytes[i] = len(token)
         self._forget()
 
     def _forget(self) -> None:
@@ -79,18 +85,39 @@ class UnitEncoder:
         self._ids = np.zeros(0, dtype=np.uint32)
 
     def _learn(self, hashes: np.ndarray, units: list[str]) -> None:
-        """Add units (hashes ascending, none known yet)."""
-        ids = self._encoding.encode_ordinary_batch(units, num_threads=1)
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        flat = np.fromiter((i for x in ids for i in x), dtype=np.uint32, count=int(sizes.sum()))
+        """Add units, none known yet."""
+        ids, sizes = self._encode_units(units)
         order = np.argsort(np.concatenate([self._hashes, hashes]), kind="stable")
         lengths = np.concatenate([np.diff(self._starts), sizes])
-        starts = np.concatenate([self._starts[:-1], len(self._ids) + np.concatenate([[0], np.cumsum(sizes)[:-1]])])
-        every = np.concatenate([self._ids, flat])
+        starts = np.concatenate([self._starts[:-1], len(self._ids) + np.cumsum(sizes) - sizes])
+        every = np.concatenate([self._ids, ids])
         self._hashes = np.concatenate([self._hashes, hashes])[order]
         self._ids = every[_ranges(starts[order], lengths[order])]
         self._starts = np.concatenate([[0], np.cumsum(lengths[order])])
 
+    def _encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units in a row, and how many each has.
+
+        Units that begin with white space and end with a word can follow one
+        another in one text; where each ends, the lengths of its tokens tell.
+        """
+        together = [k for k, u in enumerate(units) if u[0] in _SPACES and u[-1] not in _SPACES and not _ODD_SPACE.search(u)]
+        ids = self._encoding.encode_to_numpy("".join([units[k] for k in together])) if together else np.zeros(0, np.uint32)
+        ends = np.cumsum([len(units[k].encode()) for k in together], dtype=np.int64)
+        last = np.searchsorted(np.cumsum(self._bytes[ids]), ends) + 1 if together else np.zeros(0, np.int64)
+        sizes = np.zeros(len(units), dtype=np.int64)
+        sizes[together] = np.diff(last, prepend=0)
+        alone = sorted(set(range(len(units))) - set(together))
+        if not alone:
+            return ids, sizes
+        lists = [self._encoding.encode_ordinary(units[k]) for k in alone]
+        sizes[alone] = [len(x) for x in lists]
+        every = np.concatenate([ids, np.array([i for x in lists for i in x], dtype=np.uint32)])
+        began = np.zeros(len(units), dtype=np.int64)
+        placed = np.concatenate([together, alone]).astype(np.int64)
+        began[placed] = np.cumsum(sizes[placed]) - sizes[placed]
+        return every[_ranges(began, sizes)], sizes
+
     def encode(self, offsets: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's begin."""
         space = WHITE_SPACE[data]
@@ -101,15 +128,21 @@ class UnitEncoder:
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
         hashes = span_hashes(data, starts, ends)
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        back, distinct = pd.factorize(hashes)
+        first = np.empty(len(distinct), dtype=np.int64)
+        first[back[::-1]] = np.arange(len(back) - 1, -1, -1)
         if len(self._hashes) > CACHE_UNITS:
             self._forget()
-        new = ~np.isin(distinct, self._hashes, assume_unique=True)
+        at = np.searchsorted(self._hashes, distinct)
+        new = np.ones(len(distinct), dtype=bool)
+        if len(self._hashes):
+            new = self._hashes[np.minimum(at, len(self._hashes) - 1)] != distinct
         if new.any():
             whole = data.tobytes()
-            at = first[new]
-            self._learn(distinct[new], [whole[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
-        place = np.searchsorted(self._hashes, distinct)[back]
+            own = first[new]
+            self._learn(distinct[new], [whole[a:b].decode() for a, b in zip(starts[own].tolist(), ends[own].tolist(), strict=True)])
+            at = np.searchsorted(self._hashes, distinct)
+        place = at[back]
         sizes = np.diff(self._starts)[place]
         ids = self._ids[_ranges(self._starts[:-1][place], sizes)]
         total = np.concatenate([[0], np.cumsum(sizes)])
