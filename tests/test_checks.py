@@ -50,3 +50,10 @@ def test_orphan_counts_null_keys(spark):
     got = _as_dict(profile.orphan_counts({"orders": orders, "customers": customers, "order_items": items,
                                           "products": products, "inventory": inventory}), "fk")
     assert got["orders.customer_id"] == 3  # NULL and both rows of the unknown id 8
+
+
+def test_slow_stores_survive_a_store_id_that_is_no_int(spark):
+    """B5 reports; it must not fail on one bad raw row under ANSI casts."""
+    rows = [(1e12, 50), (3.0, 20), (3.0, 31), (None, 90), (float("nan"), 70)]
+    orders = spark.createDataFrame(rows, "store_id double, delivery_time_minutes int")
+    assert [tuple(r) for r in profile.slow_stores({"orders": orders}).collect()] == [(3, 25.5)]

@@ -84,8 +84,8 @@ def test_delivery_late_threshold(small):
 def test_location_insights_unknown_customer(small):
     rows = {(r.city, r.area): r for r in gold.build_gold(small)["location_insights"].collect()}
     assert rows[("Pune", "Kothrud")].total_orders == 2
-    assert rows[("Pune", "Kothrud")].total_revenue == 2.01
-    assert rows[(None, None)].total_revenue == 1.0
+    assert rows[("Pune", "Kothrud")].total_revenue == Decimal("2.01")
+    assert rows[(None, None)].total_revenue == Decimal("1.00")
     assert rows[("Pune", "Unknown")].total_revenue is None
 
 

@@ -9,9 +9,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from oracle_sql import oracle_sql as core_sql
+from shelfwise.plans.registry import queries as core_queries
 from tests.conftest import SF_SMALL
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(core_queries())
 
 
 def _norm(v):
@@ -39,13 +41,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(core_sql()) == set(core_queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    rel = duck.execute(entry.oracle_sql()[name])
+    df = core_queries()[name](spark, SF_SMALL)
+    rel = duck.execute(core_sql()[name])
     d_cols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _rows(df.columns, df.collect()) == _rows(d_cols, rel.fetchall())

@@ -6,7 +6,7 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
+from shelfwise.plans.registry import queries as core_queries
 from tests.conftest import SF_SMALL
 
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
@@ -30,9 +30,9 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(core_queries()))
 def test_plan_shape(spark, name):
-    plan = _plan(entry.queries()[name](spark, SF_SMALL))
+    plan = _plan(core_queries()[name](spark, SF_SMALL))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad}"
     if name not in RANKED:
@@ -52,7 +52,7 @@ def test_global_window_detector(spark):
 
 
 def test_scan_prunes_columns(spark):
-    plan = _plan(entry.queries()["daily_orders"](spark, SF_SMALL))
+    plan = _plan(core_queries()["daily_orders"](spark, SF_SMALL))
     lineitem = [line for line in plan.splitlines() if "ReadSchema: struct<l_" in line]
     assert lineitem and all("l_comment" not in x and "l_shipdate" not in x for x in lineitem)
 

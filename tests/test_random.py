@@ -16,7 +16,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-import __spark_entry__ as entry
+from oracle_sql import oracle_sql as core_sql
+from shelfwise.plans.registry import queries as core_queries
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows
 
@@ -122,10 +123,10 @@ def duck(random_dir):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(core_queries()))
 def test_query_matches_oracle_on_random_data(spark, duck, random_dir, name):
-    df = entry.queries()[name](spark, random_dir)
-    rel = duck.execute(entry.oracle_sql()[name])
+    df = core_queries()[name](spark, random_dir)
+    rel = duck.execute(core_sql()[name])
     d_cols = [d[0] for d in rel.description]
     assert sorted(df.columns) == sorted(d_cols)
     assert _rows(df.columns, df.collect()) == _rows(d_cols, rel.fetchall())

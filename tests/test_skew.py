@@ -9,7 +9,8 @@ import tempfile
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+from oracle_sql import oracle_sql as core_sql
+from shelfwise.plans.registry import queries as core_queries
 from tests.conftest import SF_SMALL
 from tests.test_oracle import _rows
 
@@ -46,10 +47,10 @@ def test_skew_is_planted(duck):
     assert share > 0.33
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(core_queries()))
 def test_query_matches_oracle_under_skew(spark, duck, skewed_dir, name):
-    df = entry.queries()[name](spark, skewed_dir)
-    rel = duck.execute(entry.oracle_sql()[name])
+    df = core_queries()[name](spark, skewed_dir)
+    rel = duck.execute(core_sql()[name])
     d_cols = [d[0] for d in rel.description]
     assert _rows(df.columns, df.collect()) == _rows(d_cols, rel.fetchall())
 
