@@ -38,7 +38,12 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(folded(text), _SEPARATORS), "")
 
 
-def _grams(tokens: str, size: int, wanted: list[int] | None) -> Column:
+def _let(value: Column, use) -> Column:
+    """``use`` of a value that is computed once a row, not once an element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _grams(tokens: Column, size: int, wanted: list[int] | None) -> Column:
     """(pos, len, gram) of the windows of ``size`` words; only those whose hash is wanted, if given."""
     last = F.size(tokens) - size + 1
     at = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: i <= last if wanted is None else (
@@ -74,12 +79,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     lengths = [r["len"] for r in grams.select("len").distinct().collect()]  # at most ``window`` of them
     hashes = [r["hash"] for r in grams.select("hash").distinct().limit(max_set + 1).collect()]
     small = len(hashes) <= max_set
-    cut = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"),
-                      words(F.col(text_col)).alias("w"))
     none = F.array().cast("array<struct<pos:int,len:int,gram:string>>")
-    found = F.concat(none, *[_grams("w", size, hashes if small else None) for size in sorted(lengths)])
-    spread = (cut.select("id", "key", F.size("w").cast("long").alias("n_words"), found.alias("found"))
-              .select("id", "key", "n_words", F.explode_outer("found").alias("f"))
+    look = _let(words(F.col(text_col)), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.concat(none, *[_grams(w, size, hashes if small else None) for size in sorted(lengths)]).alias("found")))
+    spread = (docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), look.alias("look"))
+              .select("id", "key", "look.n_words", F.explode_outer("look.found").alias("f"))
               .select("id", "key", "n_words", "f.pos", "f.len", "f.gram"))
     right = grams.select("item", "gram", F.col("len").alias("size"))
     matched = spread.join(F.broadcast(right) if small else right,
@@ -93,10 +98,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def without_words(text: Column, hits: Column) -> Column:
     """``text`` without the words at the positions ``hits`` and the characters that follow each."""
-    raw, gaps = F.regexp_extract_all(text, F.lit(_RAW_WORD), F.lit(0)), F.split(text, _RAW_WORD, -1)
-    kept = F.filter(F.sequence(F.lit(1), F.size(raw)), lambda i: ~F.array_contains(hits, i))
-    rest = F.transform(kept, lambda i: F.concat(F.get(raw, i - 1), F.get(gaps, i)))
-    return F.concat(F.get(gaps, F.lit(0)), F.array_join(rest, ""))
+    cut = F.struct(F.regexp_extract_all(text, F.lit(_RAW_WORD), F.lit(0)).alias("raw"),
+                   F.split(text, _RAW_WORD, -1).alias("gaps"))
+
+    def rest(c: Column) -> Column:
+        kept = F.filter(F.transform(c["raw"], lambda w, i: F.struct(w.alias("word"), (i + 1).alias("pos"))),
+                        lambda x: ~F.array_contains(hits, x["pos"]))
+        return F.concat(F.get(c["gaps"], F.lit(0)),
+                        F.array_join(F.transform(kept, lambda x: F.concat(x["word"], F.get(c["gaps"], x["pos"]))), ""))
+
+    return _let(cut, rest)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
