@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from shelfwise.llm.graph import components, saved
-from shelfwise.llm.words import mix, slices, utf8, window_hashes, word_hashes
+from shelfwise.llm.words import given_back, mix, slices, utf8, window_hashes, word_hashes
 
 SHINGLE = 5
 THRESHOLD = 75  # per cent
@@ -122,6 +122,10 @@ def _linked(a: np.ndarray, b: np.ndarray, threshold: int) -> bool:
     return 100 * common >= threshold * (len(a) + len(b) - common)
 
 
+def _released(run):
+    return lambda batches: given_back(run(batches))
+
+
 def _nodes(sets: list[np.ndarray]) -> np.ndarray:
     """A number for each set, the same for equal sets."""
     sums = np.array([mix(s).sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
@@ -258,7 +262,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketches = saved(rows.select("id", F.xxhash64("id", "text").alias("key"), "text").mapInArrow(
-        _sketch(shingle), f"id {id_type}, key long, n long, node long, regs binary"))
+        _released(_sketch(shingle)), f"id {id_type}, key long, n long, node long, regs binary"))
     nodes = sketches.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.max("n").alias("n"),
                                                         F.max("regs").alias("regs"))
     # a bucket is a hash of the band's registers whose lowest bits name the band; dealt once, used twice
@@ -271,7 +275,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
     candidates = members.select("node").distinct().join(nodes, "node")
     texts = rows.withColumnRenamed("id", "first").join(candidates.select("first", "node", "n", "regs"), "first")
     sets = saved(texts.select("node", "n", "regs", "text").mapInArrow(
-        _sets(shingle), "node long, n long, regs binary, shingles binary").groupBy("node")
+        _released(_sets(shingle)), "node long, n long, regs binary, shingles binary").groupBy("node")
         .agg(F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("shingles").alias("shingles")), SETS)
 
     pairs = members.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()

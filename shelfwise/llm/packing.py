@@ -31,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfwise.llm.graph import saved
-from shelfwise.llm.words import WHITE_SPACE, slices, span_hashes, utf8
+from shelfwise.llm.words import WHITE_SPACE, given_back, slices, span_hashes, utf8
 
 SIZE = 1024
 END_ID = 2
-#: Word units whose ids a Python worker remembers.
-CACHE_UNITS = 2_000_000
+#: Word units whose ids a task remembers.
+CACHE_UNITS = 1_000_000
 #: Parts in which the pieces of each length are numbered.
 PARTS = 64
 
@@ -61,7 +61,7 @@ class UnitEncoder:
     A unit is a run of white space and the word after it. The vocabulary's
     pattern never lets a token reach over a border between units, so a
     text's ids are its units' ids. Each distinct unit of a batch is encoded
-    once, and the ids of ``CACHE_UNITS`` units are kept between batches.
+    once, and the ids of ``CACHE_UNITS`` units are kept between a task's batches.
     """
 
     def __init__(self, path: str) -> None:
@@ -77,9 +77,9 @@ class UnitEncoder:
         self._bytes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)
         for token, i in ranks.items():
             self._bytes[i] = len(token)
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self._hashes = np.zeros(0, dtype=np.uint64)
         self._starts = np.zeros(1, dtype=np.int64)
         self._ids = np.zeros(0, dtype=np.uint32)
@@ -132,7 +132,7 @@ class UnitEncoder:
         first = np.empty(len(distinct), dtype=np.int64)
         first[back[::-1]] = np.arange(len(back) - 1, -1, -1)
         if len(self._hashes) > CACHE_UNITS:
-            self._forget()
+            self.forget()
         at = np.searchsorted(self._hashes, distinct)
         new = np.ones(len(distinct), dtype=bool)
         if len(self._hashes):
@@ -164,6 +164,10 @@ def _pieces(tokenizer: str, size: int, end_id: int):
         encoder = _encoders.get(tokenizer)
         if encoder is None:
             encoder = _encoders.setdefault(tokenizer, UnitEncoder(tokenizer))
+        yield from given_back(encoded(encoder, batches))
+
+    def encoded(encoder, batches):
+        encoder.forget()  # units of an earlier task
         for batch in batches:
             offsets, data = utf8(batch.column("text"))
             for a, b in slices(offsets):
@@ -193,6 +197,7 @@ def _pieces(tokenizer: str, size: int, end_id: int):
                     batch.column("id").take(take), batch.column("key").take(take), pa.array(piece, pa.int32()),
                     pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64()),
                 ], names=["id", "key", "piece", "start", "length", "ids_crc32"])
+        encoder.forget()
 
     return run
 

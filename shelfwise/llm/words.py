@@ -9,6 +9,7 @@ length. Everything is modulo 2**64 and the same on every machine.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +20,13 @@ WHITE_SPACE = np.zeros(256, dtype=bool)
 WHITE_SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 #: Bytes of text handled at once; a longer document is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 _BYTE_BASE = np.uint64(0x9E3779B97F4A7C15)
 _WORD_BASE = np.uint64(0xD6E8FEB86659FD93)
 _BYTE_VALUES = np.random.Generator(np.random.PCG64(20240229)).integers(
     1, 2**64, size=256, dtype=np.uint64, endpoint=False)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -43,6 +44,21 @@ def _powers(base: np.uint64, size: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+def given_back(batches: Iterator) -> Iterator:
+    """``batches``, and then the memory they took back to the system.
+
+    A Python worker stays for later tasks, and what its allocators keep for
+    themselves is taken from the executor's other work.
+    """
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim:
+            trim(0)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(33))
