@@ -36,7 +36,9 @@ from shelfwise.llm.words import WHITE_SPACE, given_back, slices, span_hashes, ut
 SIZE = 1024
 END_ID = 2
 #: Word units whose ids a task remembers.
-CACHE_UNITS = 1_000_000
+CACHE_UNITS = 400_000
+#: Bytes of text encoded at once.
+SLICE = 1 << 20
 #: Parts in which the pieces of each length are numbered.
 PARTS = 64
 
@@ -170,7 +172,7 @@ def _pieces(tokenizer: str, size: int, end_id: int):
         encoder.forget()  # units of an earlier task
         for batch in batches:
             offsets, data = utf8(batch.column("text"))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 own, texts = offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]]
                 ids, bounds = encoder.encode(own, texts)
                 whole = texts.tobytes()
