@@ -10,8 +10,11 @@ language with the lowest one wins.
 
 Training takes a bounded sample: of each language the ``SAMPLE_DOCS`` rows
 with the smallest hash in as many strata, ``SAMPLE_CHARS`` characters of
-each; the sample is a few hundred kilobytes and its automata are broadcast
-as tables (state x character -> state). Prediction reads every text whole.
+each, from a place in the text that the hash draws. Every letter of the
+samples, of whatever script, has a code of its own. The automata's arcs are
+broadcast as sparse tables (state and character -> state), whose size goes
+with the sample and not with the number of letters. Prediction reads every
+text whole.
 
 A task parses many pieces of text side by side, one character of each at a
 time. Texts are cut into pieces of ``PIECE`` characters for that; a phrase
@@ -21,7 +24,6 @@ ends where its piece does.
 from __future__ import annotations
 
 import sys
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +32,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfwise.llm.words import given_back
 
-SAMPLE_DOCS, SAMPLE_CHARS = 48, 400
-#: Characters that get a column of their own; rarer letters share one.
-ALPHABET = 45
+SAMPLE_DOCS, SAMPLE_CHARS = 48, 500
 PIECE = 512
 #: Bytes of text that are parsed side by side.
 SIDE_BY_SIDE = 2 << 20
@@ -75,24 +75,74 @@ class _Automaton:
         self._link[old] = self._link[new] = copy
 
 
-def parse_table(codes: list[int], width: int) -> np.ndarray:
-    """Flat table: entry [state * width + code] is (next state * width) * 2, plus 1 if a phrase begins.
+class ParseTable:
+    """Flat table of which only the arcs are stored, each row shifted so that no two arcs share a slot.
+
+    Reads like an array: entry [state * width + code] is (next state * width) * 2,
+    plus 1 if a phrase begins.
+    """
+
+    def __init__(self, arcs: list[dict[int, int]], fresh: np.ndarray) -> None:
+        self.width, self._fresh, self._base = len(fresh), fresh, np.zeros(len(arcs), dtype=np.int64)
+        count = sum(map(len, arcs))
+        self._owner = np.full(self.width * 2 + count, -1, dtype=np.int32)
+        self._to = np.zeros(len(self._owner), dtype=np.int64)
+        # rows of several arcs first, one after another; rows of one arc fill the gaps
+        low = self.width
+        for row in sorted((r for r, out in enumerate(arcs) if len(out) > 1), key=lambda r: (-len(arcs[r]), r)):
+            low = self._place(row, arcs[row], low)
+        single = [r for r, out in enumerate(arcs) if len(out) == 1]
+        gaps = self.width + np.flatnonzero(self._owner[self.width:] < 0)
+        if len(gaps) < len(single) + self.width:
+            self._grow(len(single) + self.width - len(gaps))
+            gaps = self.width + np.flatnonzero(self._owner[self.width:] < 0)
+        for row, slot in zip(single, gaps.tolist(), strict=False):
+            (c, to), = arcs[row].items()
+            self._base[row], self._owner[slot], self._to[slot] = slot - c, row, to
+        self._grow(max(0, int(self._base.max(initial=0)) + self.width - len(self._owner)))
+        keep = int(self._base.max(initial=0)) + self.width
+        self._owner, self._to = self._owner[:keep].copy(), self._to[:keep].copy()
+
+    def _grow(self, by: int) -> None:
+        self._owner = np.concatenate([self._owner, np.full(by, -1, dtype=np.int32)])
+        self._to = np.concatenate([self._to, np.zeros(by, dtype=np.int64)])
+
+    def _place(self, row: int, out: dict[int, int], low: int) -> int:
+        """Put a row's arcs at the first base from ``low`` where all their slots are free."""
+        codes = np.array(list(out), dtype=np.int64)
+        while True:
+            if low + 512 + self.width > len(self._owner):
+                self._grow(len(self._owner) + 512)
+            free = self._owner[low:low + 512 + self.width] < 0
+            fits = np.logical_and.reduce([free[c:c + 512] for c in codes.tolist()])
+            if fits.any():
+                base = low + int(fits.argmax())
+                self._base[row], self._owner[base + codes], self._to[base + codes] = base, row, list(out.values())
+                return base
+            low += 512
+
+    def __len__(self) -> int:
+        return len(self._base) * self.width
+
+    def __getitem__(self, index):
+        row, code = np.divmod(index, self.width)
+        slot = self._base[row] + code
+        entry = np.where(self._owner[slot] == row, self._to[slot], self._fresh[code])
+        return np.where(code == _PAD, index * 2, entry)
+
+
+def parse_table(codes: list[int], width: int) -> ParseTable:
+    """The table of a sample.
 
     State 0 is before any phrase. A code that can't lengthen the phrase
     begins the next one; one that the sample lacks is a phrase that nothing
     lengthens, so it leads back to state 0. The pad code changes nothing.
     """
-    arcs = _Automaton(codes).next
-    table = np.empty((len(arcs) + 1, width), dtype=np.int64)  # state s of the automaton is row s + 1
-    fresh = np.zeros(width, dtype=np.int64)
+    arcs = _Automaton(codes).next  # state s of the automaton is row s + 1
+    fresh = np.ones(width, dtype=np.int64)
     for c, to in arcs[0].items():
-        fresh[c] = to + 1
-    table[:] = fresh * width * 2 + 1
-    for state, out in enumerate(arcs[1:], start=2):
-        for c, to in out.items():
-            table[state, c] = (to + 1) * width * 2
-    table[:, _PAD] = np.arange(len(table)) * width * 2
-    return table.ravel().astype(np.int32)
+        fresh[c] = (to + 1) * width * 2 + 1
+    return ParseTable([{}, {}, *[{c: (to + 1) * width * 2 for c, to in out.items()} for out in arcs[1:]]], fresh)
 
 
 def _is_letter(character: int) -> bool:
@@ -104,8 +154,7 @@ class Model:
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
         texts = {lang: [t.lower() for t in ts] for lang, ts in sorted(samples.items())}
-        seen = Counter(c for ts in texts.values() for t in ts for c in t if c.isalpha())
-        self.letters = "".join(sorted(c for c, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))[:ALPHABET]))
+        self.letters = "".join(sorted({c for ts in texts.values() for t in ts for c in t if c.isalpha()}))
         self.languages = list(texts)
         self.width = _OTHER + 1 + len(self.letters)
         self.tables, self.bits = [], []
@@ -119,7 +168,7 @@ class Model:
     def _columns(self) -> np.ndarray:
         """The code of each character of Unicode; built once a process."""
         if not hasattr(self, "_code"):
-            code = np.full(sys.maxunicode + 1, _GAP, dtype=np.uint8)
+            code = np.full(sys.maxunicode + 1, _GAP, dtype=np.min_scalar_type(self.width))
             for c in range(sys.maxunicode + 1):
                 if _is_letter(c):
                     code[c] = _OTHER
@@ -145,7 +194,7 @@ class Model:
         coded = [self.codes(np.frombuffer(t.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)) for t in texts]
         sizes = np.array([len(c) if (c != _GAP).any() else 0 for c in coded], dtype=np.int64)
         per = -(-sizes // PIECE)
-        side = np.full((int(per.sum()), PIECE), _PAD, dtype=np.uint8)
+        side = np.full((int(per.sum()), PIECE), _PAD, dtype=np.min_scalar_type(self.width))
         at = 0
         for c, n, k in zip(coded, sizes.tolist(), per.tolist(), strict=True):
             side[at:at + k].ravel()[:n] = c[:n]
@@ -159,7 +208,7 @@ class Model:
         owner = np.repeat(np.arange(len(texts)), per)[order]
         out = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(side), dtype=np.int32)
+            state = np.zeros(len(side), dtype=np.int64)
             count = np.zeros(len(side), dtype=np.int32)
             for step in range(PIECE):
                 n = int(active[step])
@@ -189,12 +238,19 @@ class Model:
 
 def training_sample(docs: DataFrame, text_col: str, lang_col: str, id_col: str,
                     sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS) -> dict[str, list[str]]:
-    """{language: sample texts}: of each language, the first row by hash in each of ``sample_docs`` strata."""
+    """{language: sample texts}: of each language, the first row by hash in each of ``sample_docs`` strata.
+
+    A text longer than ``sample_chars`` gives that many characters from a place that a hash draws.
+    """
     usable = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     order = F.xxhash64(F.col(id_col), F.lit("sample"))
     chosen = (usable.select(F.col(lang_col).alias("lang"), order.alias("h"))
               .groupBy("lang", F.pmod("h", F.lit(sample_docs)).alias("stratum")).agg(F.min("h").alias("h")))
-    rows = (usable.select(F.col(lang_col).alias("lang"), order.alias("h"), F.substring(text_col, 1, sample_chars).alias("t"))
+    places = F.greatest(F.length(text_col) - sample_chars, F.lit(0)) + 1
+    begin = F.pmod(F.xxhash64(F.col(id_col), F.lit("place")), places).cast("int") + 1
+    taken = F.substring(F.col(text_col), begin, F.lit(sample_chars))
+    taken = F.when(taken.rlike(r"\p{L}"), taken).otherwise(F.regexp_extract(text_col, rf"(?s)\p{{L}}.{{0,{sample_chars - 1}}}", 0))
+    rows = (usable.select(F.col(lang_col).alias("lang"), order.alias("h"), taken.alias("t"))
             .join(F.broadcast(chosen.select("lang", "h")), ["lang", "h"])  # ``sample_docs`` rows a language
             .groupBy("lang", "h").agg(F.min("t").alias("t")).orderBy("lang", "h").collect())
     out: dict[str, list[str]] = {}

@@ -172,6 +172,26 @@ def test_languages_on_odd_rows(spark):
     assert kept.columns == frame(spark).columns and kept.count() == len(DOCS) - 4
 
 
+def test_scripts_have_letters_of_their_own():
+    # two scripts beside Latin, and two languages that differ only in the rarest letters
+    samples = {"cs": ["a\u011b\u0161" * 5], "el": ["".join(map(chr, range(0x3B1, 0x3CA))) * 2], "ru": ["".join(map(chr, range(0x430, 0x450))) * 2],
+               "la": ["abcdefghijklmnopqrstuvwxyz" * 9], "x1": ["\u05d0\u05d1\u05d2" * 3], "x2": ["\u05d3\u05d4\u05d5" * 3],
+               "zh": ["".join(map(chr, range(0x4E00, 0x4F90)))]}
+    model = language.Model(samples)
+    assert model.width > 255 and set("".join(t for ts in samples.values() for t in ts)) == set(model.letters)
+    assert model.predict([ts[0] for ts in samples.values()])[0] == list(samples)
+    codes = model.codes(np.array([ord(c) for c in samples["zh"][0]], dtype=np.uint32))
+    assert len(set(codes.tolist())) == len(samples["zh"][0])
+
+
+def test_sample_is_taken_from_anywhere(spark):
+    rows = [(n, " ".join(f"{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(600)), "en") for n in range(40)]
+    rows.append((99, "." * 3000 + "z" + "." * 3000, "zz"))
+    out = language.training_sample(spark.createDataFrame(rows, "doc_id long, text string, lang string"), "text", "lang", "doc_id")
+    assert len(set(out["en"])) > 5 and {len(t) for t in out["en"]} == {language.SAMPLE_CHARS}
+    assert out["zz"] == ["z" + "." * (language.SAMPLE_CHARS - 1)]
+
+
 # --- html -----------------------------------------------------------------------------------------
 def article(page):
     inside = re.search(r"<article>(.*?)(</article>|$)", page, re.S)[1]
