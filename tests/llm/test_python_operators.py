@@ -109,6 +109,43 @@ def test_the_network_is_a_permutation():
     assert len({tuple(feistel("x", v, [10, 10, 10], "k")) for v in itertools.product(range(10), repeat=3)}) == 1000
 
 
+def mod97(iban):
+    iban = iban.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+def test_more_formats_of_valid_values(spark):
+    found = {"31/12/1985": "date", "13/02/2001": "date", "1985/12/31": "date", "5.3.1990": "date", "25/3/1990": "date", "3/5/1990": "date",
+             "+49 30 12345678": "phone", "+33 1 23 45 67 89": "phone", "+33123456789": "phone", "+44 20 7946 0958": "phone",
+             "555 123 4567": "phone", "3782 822463 10005": "card", "DE89 3704 0044 0532 0130 00": "iban",
+             "GB29NWBK60161331926819": "iban", "FR14 2004 1010 0505 0001 3M02 606": "iban"}
+    left = ["31/02/1985", "32/12/1985", "1985/13/01", "3782 822463 10006", "DE89 3704 0044 0532 0130 01"]
+    rows = [(n, f"x {v}, y") for n, v in enumerate([*found, *left])]
+    out = pii.pseudonymized(frame(spark, rows)).collect()
+    got = {}
+    for r, (value, kind) in zip(sorted(out, key=lambda r: r["doc_id"]), [*found.items(), *((v, None) for v in left)], strict=True):
+        if kind is None:
+            assert r["text"] == f"x {value}, y"
+            continue
+        assert [x["kind"] for x in r["pii"]] == [kind] and r["pii"][0]["value"] == value
+        got[value] = r["pii"][0]["pseudonym"]
+        assert r["text"] == f"x {got[value]}, y" and got[value] != value
+    assert int(got["31/12/1985"][:2]) > 12 and datetime.datetime.strptime(got["31/12/1985"], "%d/%m/%Y")
+    assert datetime.datetime.strptime(got["1985/12/31"], "%Y/%m/%d") and got["+49 30 12345678"].startswith("+49 ")
+    assert got["+33 1 23 45 67 89"].replace(" ", "") == got["+33123456789"] and got["+33123456789"].startswith("+33")
+    assert all(mod97(p) == 1 and p[:2] == v[:2] and len(p) == len(v) for v, p in got.items() if found[v] == "iban")
+    assert re.fullmatch("[0-9]{4} [0-9]{6} [0-9]{5}", got["3782 822463 10005"])
+
+
+def test_days_after_the_12th_are_numbered(spark):
+    from pyspark.sql import functions as F
+    days = spark.sql("SELECT explode(sequence(DATE'1800-01-01', DATE'2199-12-31')) d").where("day(d) > 12")
+    out = days.select("d", pii._day_number(F.date_format("d", "dd/MM/yyyy")).alias("n"))
+    out = out.select("d", "n", pii._late_day(F.col("n").cast("int")).alias("back"))
+    assert out.agg(F.count("*"), F.countDistinct("n"), F.min("n"), F.max("n"), F.sum((F.col("d") != F.col("back")).cast("int"))).first()[:] == (
+        88497, 88497, 0, 88496, 0)
+
+
 # --- language -------------------------------------------------------------------------------------
 def parse_count(sample, codes):
     text, n, i = "".join(map(chr, sample)), 0, 0
