@@ -64,6 +64,7 @@ class UnitEncoder:
     pattern never lets a token reach over a border between units, so a
     text's ids are its units' ids. Each distinct unit of a batch is encoded
     once, and the ids of ``CACHE_UNITS`` units are kept between a task's batches.
+    Units don't hold in texts that are ``apart``, which ``encode_whole`` takes.
     """
 
     def __init__(self, path: str) -> None:
@@ -71,7 +72,10 @@ class UnitEncoder:
         import tiktoken
 
         with open(path, encoding="utf-8") as file:
-            model = json.load(file)["model"]
+            contents = json.load(file)
+        model, added = contents["model"], [t["content"] for t in contents.get("added_tokens") or []]
+        self._path, self._tokenizer = path, None
+        self._added = re.compile("|".join(map(re.escape, added)) or "(?!)")
         byte = _byte_of_character()
         ranks = {bytes(byte[c] for c in token): i for token, i in model["vocab"].items()
                  if all(c in byte for c in token) and i < len(model["merges"]) + 256}
@@ -150,7 +154,17 @@ class UnitEncoder:
         total = np.concatenate([[0], np.cumsum(sizes)])
         return ids, total[np.searchsorted(starts, offsets)]
 
+    def apart(self, text: str) -> bool:
+        """Whether a text has odd white space or one of the file's added tokens."""
+        return bool(_ODD_SPACE.search(text) or self._added.search(text))
+
     def encode_whole(self, text: str) -> list[int]:
+        if self._added.search(text):
+            if self._tokenizer is None:
+                from tokenizers import Tokenizer
+
+                self._tokenizer = Tokenizer.from_file(self._path)
+            return self._tokenizer.encode(text, add_special_tokens=False).ids
         return self._encoding.encode_ordinary(text)
 
 
@@ -176,8 +190,8 @@ def _pieces(tokenizer: str, size: int, end_id: int):
                 own, texts = offsets[a:b + 1] - offsets[a], data[offsets[a]:offsets[b]]
                 ids, bounds = encoder.encode(own, texts)
                 whole = texts.tobytes()
-                if _ODD_SPACE.search(whole.decode()):  # units don't hold there
-                    lists = [np.array(encoder.encode_whole(t), dtype=np.uint32) if _ODD_SPACE.search(t) else ids[x:y]
+                if encoder.apart(whole.decode()):
+                    lists = [np.array(encoder.encode_whole(t), dtype=np.uint32) if encoder.apart(t) else ids[x:y]
                              for t, x, y in zip((whole[x:y].decode() for x, y in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)),
                                                 bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                     ids = np.concatenate(lists)

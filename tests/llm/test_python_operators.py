@@ -459,6 +459,21 @@ def test_unit_ids_equal_the_tokenizer():
             assert ids[bounds[k]:bounds[k + 1]].tolist() == exact.encode(t, add_special_tokens=False).ids
 
 
+def test_added_tokens_in_a_text_get_their_ids(spark):
+    from tokenizers import Tokenizer
+    exact = Tokenizer.from_file(TOKENIZER)  # special tokens as the contract has them
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y\n", "a <|endoftext| b", "plain", "é\xa0<|endoftext|>\u3000z",
+             "word " * 1500 + "<|endoftext|> tail"]
+    assert exact.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    out = packing.pack(frame(spark, list(enumerate(texts))), TOKENIZER).toPandas()
+    for i, t in enumerate(texts):
+        ids = np.array([*exact.encode(t, add_special_tokens=False).ids, 2], dtype="<u4")
+        own = out[out.doc_id == i]
+        assert own.length.sum() == len(ids)
+        for p in own.itertuples():
+            assert p.ids_crc32 == zlib.crc32(ids[p.start:p.start + p.length].tobytes())
+
+
 def test_packed_documents(spark):
     from tokenizers import Tokenizer
     exact = Tokenizer.from_file(TOKENIZER)
