@@ -258,12 +258,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshold: int) -> DataFrame:
-    """(id, key, n, component_id) for every row; ``key`` is a hash of id and text."""
+    """(id, key, n, component, component_id) for every row.
+
+    ``key`` is a hash of id and text; ``component`` a number, null for a row without words.
+    """
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     sketches = saved(rows.select("id", F.xxhash64("id", "text").alias("key"), "text").mapInArrow(
         _released(_sketch(shingle)), f"id {id_type}, key long, n long, node long, regs binary"))
-    nodes = sketches.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.max("n").alias("n"),
+    nodes = sketches.where("n > 0").groupBy("node").agg(F.min("id").alias("first"), F.min("key").alias("key"), F.max("n").alias("n"),
                                                         F.max("regs").alias("regs"))
     # a bucket is a hash of the band's registers whose lowest bits name the band; dealt once, used twice
     width, bands = 2 * BAND, REGISTERS // BAND
@@ -273,7 +276,8 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
     shared = banded.groupBy("bucket").agg(F.count("*").alias("size"), F.min("node").alias("center")).where("size > 1")
     members = saved(banded.join(shared.drop("size"), "bucket"), ROWS)
     candidates = members.select("node").distinct().join(nodes, "node")
-    texts = rows.withColumnRenamed("id", "first").join(candidates.select("first", "node", "n", "regs"), "first")
+    # by key: an id may be null, or stand for several texts
+    texts = rows.select(F.xxhash64("id", "text").alias("key"), "text").join(candidates.select("key", "node", "n", "regs"), "key")
     sets = saved(texts.select("node", "n", "regs", "text").mapInArrow(
         _released(_sets(shingle)), "node long, n long, regs binary, shingles binary").groupBy("node")
         .agg(F.max("n").alias("n"), F.max("regs").alias("regs"), F.max("shingles").alias("shingles")), SETS)
@@ -319,10 +323,10 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
              .join(merged.select(F.col("node").alias("component"), F.col("component").alias("final")), "component", "left")
              .select("node", "first", F.coalesce("final", "component").alias("component")))
     smallest_id = group.groupBy("component").agg(F.min("first").alias("component_id"))
-    named = group.join(smallest_id, "component").select("node", "component_id")
+    named = group.join(smallest_id, "component").select("node", "component", "component_id")
     return (sketches.select("id", "key", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
             .join(named, "node", "left")
-            .select("id", "key", "n", F.coalesce("component_id", "id").alias("component_id")))
+            .select("id", "key", "n", "component", F.coalesce("component_id", "id").alias("component_id")))
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -334,12 +338,15 @@ def _open(members: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          shingle: int = SHINGLE, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their near-duplicate group; of repeated rows one.
+    """One row of each near-duplicate group, of the smallest id (a null id comes last, equal ids by their hash
+    with the text); of repeated rows one.
 
     Rows without words are in no group and stay. All columns are kept.
     """
     found = _grouped(docs, id_col, text_col, shingle, threshold)
-    keep = found.where(F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("key").alias("__key")).distinct()
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key"))["key"]
+    keep = (found.where(F.col("component").isNotNull()).groupBy("component").agg(first.alias("__key")).select("__key")
+            .unionByName(found.where(F.col("component").isNull()).select(F.col("key").alias("__key")).distinct()))
     return (docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(keep, "__key", "left_semi")
             .dropDuplicates(["__key"]).drop("__key"))
 

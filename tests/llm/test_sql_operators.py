@@ -125,3 +125,13 @@ def test_empty_tables(spark):
     assert decontamination.decontaminate(frame(spark), bench).count() == len(DOCS)
     assert near_dedup.near_duplicates(docs).collect() == []
     assert near_dedup.drop_near_duplicates(docs).collect() == []
+
+
+def test_near_duplicates_without_or_with_one_id(spark):
+    one, near, other = text(0, 100), text(0, 97) + " other end here", text(200, 300)
+    grouped = near_dedup.near_duplicates(frame(spark, [(1, one), (None, near), (2, other)])).collect()
+    assert {r["doc_id"]: r["component_id"] for r in grouped} == {1: 1, None: 1, 2: 2}
+    for ids in ((None, None), (5, 5), (None, 1), (1, 2)):
+        left = near_dedup.drop_near_duplicates(frame(spark, [(ids[0], one), (ids[1], near), (7, other), (8, "")])).collect()
+        assert len(left) == 3 and {r["doc_id"] for r in left} >= {7, 8}
+        assert sum(r["doc_id"] == min((i for i in ids if i is not None), default=None) for r in left) == 1
