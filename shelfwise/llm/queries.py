@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwise.llm.decontamination import OP2_SQL, op2_decontamination
+from shelfwise.llm.filter_audit import OP13_SQL, op13_filter_audit
 from shelfwise.llm.html_text import op5_html_extraction
 from shelfwise.llm.language import op4_language
 from shelfwise.llm.language_model import op9_language_model
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
+    "op13_filter_audit": op13_filter_audit,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -35,4 +37,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op6_near_dedup": OP6_SQL,
     "op7_top_k": OP7_SQL,
+    "op13_filter_audit": OP13_SQL,
 }
