@@ -14,9 +14,11 @@ from shelfwise.llm.language_model import op9_language_model
 from shelfwise.llm.near_dedup import OP6_SQL, op6_near_dedup
 from shelfwise.llm.packing import op10_packing
 from shelfwise.llm.pii import op1_pii
+from shelfwise.llm.retrieval_packing import op12_retrieval_packing
 from shelfwise.llm.substring_dedup import OP3_SQL, op3_substring_dedup
 from shelfwise.llm.top_k import OP7_SQL, op7_top_k
 from shelfwise.llm.toxicity import op8_toxicity
+from shelfwise.llm.vector_codes import OP11_SQL, op11_vector_codes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
@@ -29,6 +31,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_language_model": op9_language_model,
     "op10_packing": op10_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_retrieval_packing": op12_retrieval_packing,
     "op13_filter_audit": op13_filter_audit,
 }
 
@@ -37,5 +41,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_substring_dedup": OP3_SQL,
     "op6_near_dedup": OP6_SQL,
     "op7_top_k": OP7_SQL,
+    "op11_vector_codes": OP11_SQL,
     "op13_filter_audit": OP13_SQL,
 }

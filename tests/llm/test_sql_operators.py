@@ -19,7 +19,7 @@ def tables(*names):
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_given_tables(spark, name):
-    same_rows(QUERIES[name](spark, SF_SMALL), by_sql(ORACLE_SQL[name], **tables("documents", "benchmark", "embeddings")))
+    same_rows(QUERIES[name](spark, SF_SMALL), by_sql(ORACLE_SQL[name], **tables("documents", "benchmark", "embeddings", "labels")))
 
 
 def documents(rows):
