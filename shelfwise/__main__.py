@@ -1,4 +1,4 @@
-"""Command line: ``python -m shelfwise run|extras|ask ...`` (see ``--help``)."""
+"""Command line: ``python -m shelfwise run|add|rerun|extras|ask ...`` (see ``--help``)."""
 
 from __future__ import annotations
 
@@ -21,6 +21,15 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--cores", type=int, default=0, help="total executor cores")
     run.add_argument("--input-gb", type=float, default=0.0,
                      help="volume of the bronze tables, local or remote; with --cores, sizes splits and shuffle partitions")
+    add = sub.add_parser("add", help="add a folder of new bronze rows to a finished run")
+    add.add_argument("bronze_dir")
+    add.add_argument("out_dir")
+    add.add_argument("--master", default=None)
+    rerun = sub.add_parser("rerun", help="replace the inventory snapshots of some dates by those of a bronze folder")
+    rerun.add_argument("bronze_dir")
+    rerun.add_argument("out_dir")
+    rerun.add_argument("dates", nargs="+", help="YYYY-MM-DD")
+    rerun.add_argument("--master", default=None)
     extras = sub.add_parser("extras", help="write the extension metrics of a finished run")
     extras.add_argument("out_dir")
     extras.add_argument("--master", default=None)
@@ -34,15 +43,20 @@ def main(argv: list[str] | None = None) -> int:
     if args.cmd == "run" and (args.cores or args.input_gb):
         extra = scale_settings(args.input_gb, args.cores)
     spark = build_session(master=args.master, extra=extra)
-    from shelfwise.plans import layers
+    from shelfwise.plans import increments, layers
 
-    if args.cmd == "run":
-        summary = layers.run_layers(spark, args.bronze_dir, args.out_dir, start_at=args.start_at)
+    if args.cmd in ("run", "add", "rerun"):
+        if args.cmd == "run":
+            summary = layers.run_layers(spark, args.bronze_dir, args.out_dir, start_at=args.start_at)
+        elif args.cmd == "add":
+            summary = increments.add_increment(spark, args.bronze_dir, args.out_dir)
+        else:
+            summary = increments.rerun_dates(spark, args.bronze_dir, args.out_dir, args.dates)
         for table, lines in summary.malformed.items():
             if lines:
                 print(f"{table}: {lines} lines with values that don't fit their types")
         for report in summary.silver_rows:
-            print(f"{report.table}: kept {report.after} of {report.before}")
+            print(f"{report.table}: {report.before} rows, {report.after} kept, {report.removed} removed")
         print(f"gate: {len(summary.gate_rules)} rules passed")
     elif args.cmd == "extras":
         for name in layers.build_extensions(spark, args.out_dir):

@@ -1,8 +1,8 @@
 """Extensions (X1-X12): metrics the source pipeline names or implies but does
 not compute (README targets, patterns its data simulator plants, and gaps in
 its gold logic). All are ordinary DataFrame work over silver tables; facts
-are pre-aggregated to the join key before any join, and no ranking runs in
-a single task (see ``ranking``).
+are pre-aggregated to the join key before any join, and what depends on
+ranks needs the rows at a few of them only (see ``cuts``).
 """
 
 from __future__ import annotations
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import count_when, half_up_mean, half_up_ratio, percent, published, with_total
+from shelfwise.operators.cuts import cut_keys, keyed, segment, whole_part
 from shelfwise.operators.gold import LATE_DELIVERY_MINUTES
-from shelfwise.operators.ranking import global_row_number, ntile_of
 
 # The simulator's delay cut-off for cancellations and the
 # default parameters of the concentration and slow-store rules.
@@ -26,21 +26,18 @@ DECILES = 10
 def demand_concentration(sales: DataFrame, top_pct: int = TOP_SHARE_PCT) -> DataFrame:
     """Units sold by the top ``top_pct``% of products vs the rest.
 
-    Products are ranked by (units desc, product_id); the top segment is the
-    first floor(n * top_pct / 100) of them.
+    Products are ordered by (units desc, product_id); the top segment is the
+    first floor(n * top_pct / 100) of them. The product at its end is found
+    by histograms (:mod:`shelfwise.operators.cuts`): nothing is sorted.
     """
-    ranked = global_row_number(
-        sales.select("product_id", "units_sold"),
-        [F.desc_nulls_last("units_sold"), F.asc_nulls_last("product_id")], "_rank")
-    n = ranked.agg(F.count(F.lit(1))).scalar()
-    total = ranked.agg(F.sum("units_sold")).scalar()
-    top = F.col("_rank") * 100 <= n * top_pct
-    return (
-        ranked.groupBy(F.when(top, F.lit(f"top_{top_pct}pct")).otherwise(F.lit("other")).alias("segment"))
+    rows = keyed(sales.select("product_id", "units_sold"), [("units_sold", True), ("product_id", False)])
+    last = cut_keys(rows, 1, lambda cut, n: whole_part(n * top_pct, F.lit(100)))
+    top = F.struct("_n1", "_k1", "_n2", "_k2") <= last.select("key").scalar()
+    segments = (
+        rows.groupBy(F.when(top, F.lit(f"top_{top_pct}pct")).otherwise(F.lit("other")).alias("segment"))
         .agg(F.count(F.lit(1)).alias("products"), F.sum("units_sold").alias("units"))
-        .withColumn("_total", total)
-        .select("segment", "products", "units", percent("units", "_total", 2).alias("units_share_pct"))
     )
+    return with_total(segments, "units").select("segment", "products", "units", percent("units", "_total", 2).alias("units_share_pct"))
 
 
 def hour_of_day(time: Column, dtype: T.DataType) -> Column:
@@ -106,14 +103,15 @@ def duplicate_keys(customers: DataFrame, products: DataFrame) -> DataFrame:
     frames = []
     for name, df, key in (("customers", customers.fillna({"area": "Unknown"}), "customer_id"),
                           ("products", products, "product_id")):
-        # copies of a row, then the different rows of a key: one read of the table
-        per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
-        per_key = per_row.groupBy(key).agg(F.sum("_copies").alias("_n"), F.count(F.lit(1)).alias("_different"))
-        frames.append(per_key.agg(
-            F.count(F.lit(1)).alias("keys"),
-            count_when(F.col("_n") > 1).alias("repeated_keys"),
-            count_when(F.col("_different") > 1).alias("conflicting_keys"),
-        ).select(F.lit(name).alias("table_name"), "keys", "repeated_keys", "conflicting_keys"))
+        # a key of one row needs no look at it: the large shuffle moves keys and counts alone
+        per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        repeated = per_key.filter(F.col("_n") > 1).select(F.col(key).alias("_k"))
+        rows = df.join(repeated, df[key].eqNullSafe(F.col("_k")), "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+        conflicting = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_different")).agg(
+            count_when(F.col("_different") > 1).alias("conflicting_keys"))
+        counts = per_key.agg(F.count(F.lit(1)).alias("keys"), count_when(F.col("_n") > 1).alias("repeated_keys"))
+        frames.append(counts.select(F.lit(name).alias("table_name"), "keys", "repeated_keys",
+                                    conflicting.scalar().alias("conflicting_keys")))
     return frames[0].unionByName(frames[1])
 
 
@@ -195,12 +193,11 @@ def demand_stock_ratio(health: DataFrame) -> DataFrame:
 
 def stockout_by_decile(health: DataFrame, buckets: int = DECILES) -> DataFrame:
     """X11: stock-out rate per popularity decile (decile 1 = highest demand)."""
-    ranked = global_row_number(
-        health.select("product_id", "total_demand", "is_stock_out"),
-        [F.desc_nulls_last("total_demand"), F.asc_nulls_last("product_id")], "_rank")
-    counted = ranked.withColumn("_n", ranked.agg(F.count(F.lit(1))).scalar())
+    rows = keyed(health.select("product_id", "total_demand", "is_stock_out"), [("total_demand", True), ("product_id", False)])
+    # as ntile: the first n % buckets of them hold one row more than the others
+    ends = cut_keys(rows, buckets - 1, lambda cut, n: cut * whole_part(n, F.lit(buckets)) + F.least(cut, n % buckets))
     return (
-        counted.groupBy(ntile_of("_rank", F.col("_n"), buckets).alias("decile"))
+        rows.groupBy(segment(rows, ends, buckets - 1).alias("decile"))
         .agg(F.count(F.lit(1)).alias("products"),
              count_when(F.col("is_stock_out")).alias("stocked_out"))
         .select("decile", "products", "stocked_out",

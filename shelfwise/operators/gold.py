@@ -101,25 +101,28 @@ def category_performance(product_perf: DataFrame) -> DataFrame:
     )
 
 
-def latest_snapshot(inventory: DataFrame) -> DataFrame:
+def latest_snapshot(inventory: DataFrame, latest: str | None = None) -> DataFrame:
     """Inventory rows on the single latest snapshot date.
 
-    The date is an uncorrelated scalar subquery evaluated inside the plan
-    (no driver round trip); on a table partitioned by inventory_date the
-    comparison prunes partitions at run time.
+    ``latest`` is that date where it is known already, as from the partitions
+    of a written layer: the comparison is then with a literal, so the plan
+    lists one partition and opens no other. Without it the date is an
+    uncorrelated scalar subquery evaluated inside the plan (no driver round
+    trip). NULL dates are no snapshot; a table without a date gives no rows.
     """
-    latest = inventory.agg(F.max("inventory_date")).scalar()
-    return inventory.filter(F.col("inventory_date") == latest)
+    day = inventory.agg(F.max("inventory_date")).scalar() if latest is None else F.lit(latest).cast("date")
+    return inventory.filter(F.col("inventory_date") == day)
 
 
 def inventory_health(inventory: DataFrame, sales: DataFrame, products: DataFrame,
-                     low_stock: int = LOW_STOCK_THRESHOLD) -> DataFrame:
+                     low_stock: int = LOW_STOCK_THRESHOLD, latest: str | None = None) -> DataFrame:
     """Stock on the latest snapshot vs total demand, with stock flags.
 
     Stock is summed over all stores; pairs absent on the latest date are
     not included (see x12 for them). ``is_low_stock`` includes stock-outs.
+    ``latest`` is the latest snapshot's date where it is known.
     """
-    stock = latest_snapshot(inventory).groupBy("product_id").agg(
+    stock = latest_snapshot(inventory, latest).groupBy("product_id").agg(
         F.sum("stock_quantity").alias("total_stock"))
     demand = sales.select("product_id", F.col("units_sold").alias("total_demand"))
     dims = products.select("product_id", "product_name", "category")
@@ -264,13 +267,13 @@ def presented(name: str, df: DataFrame) -> DataFrame:
 
 
 def build_gold(silver: dict[str, DataFrame], rollups: DataFrame | None = None,
-               sales: DataFrame | None = None) -> dict[str, DataFrame]:
+               sales: DataFrame | None = None, latest: str | None = None) -> dict[str, DataFrame]:
     """All six gold tables from the silver ones (lazy, unordered).
 
     ``rollups`` (:func:`order_rollups`) and ``sales`` (:func:`product_sales`)
     are the two shared intermediates; pass persisted copies so the item
     table is scanned and shuffled once per intermediate instead of once per
-    consumer.
+    consumer. ``latest`` is the latest snapshot's date where it is known.
     """
     if rollups is None:
         rollups = order_rollups(orders_with_value(silver["orders"], silver["order_items"]))
@@ -280,7 +283,7 @@ def build_gold(silver: dict[str, DataFrame], rollups: DataFrame | None = None,
         "daily_orders": daily_orders_from_rollups(rollups),
         "product_performance": product_performance(sales, silver["products"]),
         "category_performance": category_performance(product_performance(sales, silver["products"])),
-        "inventory_health": inventory_health(silver["inventory"], sales, silver["products"]),
+        "inventory_health": inventory_health(silver["inventory"], sales, silver["products"], latest=latest),
         "delivery_performance": delivery_performance_from_rollups(rollups),
         "location_insights": location_insights_from_rollups(rollups, silver["customers"]),
     }

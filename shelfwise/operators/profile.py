@@ -10,14 +10,15 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import count_when, half_up_mean, percent, with_total
 
 # The foreign keys checked (label, fact table, fk column,
-# dimension table, key column) and the business columns that identify a
-# duplicate order item (its surrogate id is unique by construction).
+# dimension table, key column), the business columns that identify a
+# duplicate order item (its surrogate id is unique by construction), and the
+# columns that may not be negative (rule, table, column).
 FOREIGN_KEYS = [
     ("orders.customer_id", "orders", "customer_id", "customers", "customer_id"),
     ("order_items.order_id", "order_items", "order_id", "orders", "order_id"),
@@ -25,6 +26,11 @@ FOREIGN_KEYS = [
     ("inventory.product_id", "inventory", "product_id", "products", "product_id"),
 ]
 ITEM_BUSINESS_COLUMNS = ["order_id", "product_id", "quantity", "unit_price"]
+INVALID_RULES = [
+    ("negative_delivery_time", "orders", "delivery_time_minutes"),
+    ("negative_unit_price", "order_items", "unit_price"),
+    ("negative_stock_quantity", "inventory", "stock_quantity"),
+]
 SLOW_STORES_K = 5
 
 
@@ -71,17 +77,24 @@ def null_counts(tables: dict[str, DataFrame]) -> DataFrame:
 def orphan_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows whose foreign key has no match in its dimension (NULL keys count).
 
-    The fact side is first reduced to (key, rows) by a partial aggregate, so
-    a key referenced by a third of the table is one row before the anti join.
+    Facts and dimension are one union of (check, key, rows, known), where a
+    fact row counts one and a dimension row is known, and one aggregate by
+    check and key: a key that is not known is an orphan with all its rows.
+    Both sides meet in the aggregate's only exchange, which a key referenced
+    by a third of the table enters as one row a task; there is no join, no
+    sort and no column that may grow. A NULL key is a group like others, but
+    never known. Checks without orphans are in the report with zero.
     """
-    frames = []
+    spark = next(iter(tables.values())).sparkSession
+    frames = [spark.createDataFrame([(label, None, 0, True) for label, *_ in FOREIGN_KEYS], "fk string, _k long, _rows long, _known boolean")]
     for label, fact, fk, dim, key in FOREIGN_KEYS:
-        keyed = tables[fact].groupBy(F.col(fk).alias("_k")).agg(F.count(F.lit(1)).alias("_rows"))
-        known = tables[dim].select(F.col(key).alias("_k")).distinct()
-        missing = keyed.join(known, on="_k", how="left_anti")
-        frames.append(missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("long").alias("n"))
-                      .select(F.lit(label).alias("fk"), "n"))
-    return _union(frames)
+        frames.append(tables[fact].select(F.lit(label).alias("fk"), F.col(fk).cast("long").alias("_k"), F.lit(1).cast("long").alias("_rows"),
+                                          F.lit(False).alias("_known")))
+        frames.append(tables[dim].select(F.lit(label).alias("fk"), F.col(key).cast("long").alias("_k"), F.lit(0).cast("long").alias("_rows"),
+                                         F.col(key).isNotNull().alias("_known")))
+    by_key = _union(frames).groupBy("fk", "_k").agg(F.sum("_rows").alias("_rows"), F.max("_known").alias("_known"))
+    missing = F.when(F.col("_known") & F.col("_k").isNotNull(), 0).otherwise(F.col("_rows"))
+    return by_key.groupBy("fk").agg(F.sum(missing).cast("long").alias("n"))
 
 
 def status_distribution(tables: dict[str, DataFrame]) -> DataFrame:
@@ -112,17 +125,47 @@ def slow_stores(tables: dict[str, DataFrame], k: int = SLOW_STORES_K) -> DataFra
     )
 
 
-def duplicate_counts(tables: dict[str, DataFrame]) -> DataFrame:
+def row_digest(columns: list[str], bits: int = 128) -> list[Column]:
+    """Two 64-bit hashes of a row, under different seeds; NULLs are values of their own.
+
+    ``bits`` under 128 keeps fewer of them, for tests of what a collision does.
+    """
+    # hashes skip NULLs: a second list says where they are
+    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
+    low = F.xxhash64(*[F.col(c) for c in columns], nulls)
+    high = F.xxhash64(F.lit("second"), nulls, *[F.col(c) for c in reversed(columns)])
+    if bits >= 128:
+        return [low.alias("_d0"), high.alias("_d1")]
+    return [F.pmod(low, F.lit(1 << bits)).alias("_d0"), F.lit(0).cast("long").alias("_d1")]
+
+
+def repeated_rows(df: DataFrame, columns: list[str], bits: int = 128) -> DataFrame:
+    """(``columns``, _c): groups of equal rows of ``columns`` with more than one row, and how many rows.
+
+    All rows are first counted by a digest of 16 bytes, with map-side
+    combine: that is all of a row that the large shuffle moves. Only rows
+    whose digest occurs more than once go on with their values, and are
+    grouped by these, so a digest that two different rows share adds nothing.
+    The digests that repeat are joined without a hint: the optimizer
+    broadcasts them where they are measured to be few.
+    """
+    digest = row_digest(columns, bits)
+    marked = df.select(*columns, *digest)
+    repeated = (marked.groupBy("_d0", "_d1").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+                .select("_d0", "_d1"))
+    return (marked.join(repeated, ["_d0", "_d1"], "left_semi").groupBy(*columns)
+            .agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1))
+
+
+def duplicate_counts(tables: dict[str, DataFrame], bits: int = 128) -> DataFrame:
     """Rows beyond the first of each group of identical rows (NULLs equal).
 
-    order_items are compared on their business columns. Each copy group is
-    counted with a partial aggregate, so a row copied a million times is
-    collapsed on the mappers.
+    order_items are compared on their business columns. Rows are compared
+    themselves only where their digests repeat (:func:`repeated_rows`).
     """
     frames = []
     for name, df in tables.items():
-        cols = ITEM_BUSINESS_COLUMNS if name == "order_items" else df.columns
-        groups = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_c"))
+        groups = repeated_rows(df, ITEM_BUSINESS_COLUMNS if name == "order_items" else df.columns, bits)
         frames.append(groups.agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("n"))
                       .select(F.lit(name).alias("table_name"), "n"))
     return _union(frames)
@@ -130,17 +173,31 @@ def duplicate_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def invalid_values(tables: dict[str, DataFrame]) -> DataFrame:
     """Negative delivery times, unit prices and stock quantities."""
-    rules = [
-        ("negative_delivery_time", "orders", "delivery_time_minutes"),
-        ("negative_unit_price", "order_items", "unit_price"),
-        ("negative_stock_quantity", "inventory", "stock_quantity"),
-    ]
     return _union([
         tables[t].agg(count_when(F.col(c) < 0).alias("n")).select(F.lit(rule).alias("rule"), "n")
-        for rule, t, c in rules
+        for rule, t, c in INVALID_RULES
     ])
 
 
+def table_metrics(name: str, columns: list[str]) -> list[Column]:
+    """Aggregates of one table that make up its rows in B1, B2 and B7: to be observed on a job that reads it anyway."""
+    return [F.count(F.lit(1)).alias("rows"), *[count_when(F.col(c).isNull()).alias(f"null {c}") for c in columns],
+            *[count_when(F.col(c) < 0).alias(f"rule {rule}") for rule, t, c in INVALID_RULES if t == name]]
+
+
+def reports_of_metrics(spark: SparkSession, metrics: dict[str, dict[str, int]]) -> dict[str, DataFrame]:
+    """B1, B2 and B7 from the metrics of every table: a few numbers a column, no table is read."""
+    rows = [(t, m["rows"]) for t, m in metrics.items()]
+    nulls = [(t, k.removeprefix("null "), n, m["rows"]) for t, m in metrics.items() for k, n in m.items() if k.startswith("null ") and n]
+    rules = [(rule, metrics[t][f"rule {rule}"]) for rule, t, _ in INVALID_RULES]
+    return {
+        "check_row_counts": spark.createDataFrame([*rows, ("TOTAL", sum(n for _, n in rows))], "table_name string, n long"),
+        "check_nulls": spark.createDataFrame(nulls, "table_name string, column_name string, n long, _rows long").select(
+            "table_name", "column_name", "n", percent("n", "_rows", 2).alias("pct")),
+        "check_invalid": spark.createDataFrame(rules, "rule string, n long"),
+    }
+
+
 CHECKS = {
     "check_row_counts": row_counts,
     "check_nulls": null_counts,
@@ -152,6 +209,7 @@ CHECKS = {
 }
 
 
-def profile_bronze(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All seven checks (lazy)."""
-    return {name: fn(tables) for name, fn in CHECKS.items()}
+def profile_bronze(tables: dict[str, DataFrame], metrics: dict[str, dict[str, int]] | None = None) -> dict[str, DataFrame]:
+    """All seven checks (lazy); those that ``metrics`` of the tables tell don't read them again."""
+    known = reports_of_metrics(next(iter(tables.values())).sparkSession, metrics) if metrics else {}
+    return {name: known[name] if name in known else fn(tables) for name, fn in CHECKS.items()}

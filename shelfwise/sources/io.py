@@ -1,9 +1,9 @@
 """Scans and sinks for the three layers.
 
 Layers are directories of Parquet datasets, one per table, under a base path
-(``<base>/<table>.parquet``). Writes are distributed and overwrite the whole
-table; only the optional single-file gold export funnels rows through one
-task, and only behind a checked row bound.
+(``<base>/<table>.parquet``). Writes are distributed, and become visible as
+commits of :mod:`shelfwise.sources.versions`: a table, or all tables of a
+layer, at once. Datasets that others have written there are read as they are.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.sources.schemas import BRONZE
+from shelfwise.sources.versions import Commit, Layer, NotCommitted
 
 #: Column of staged tables that holds a CSV line with values that don't fit their types, else NULL.
 MALFORMED = "_malformed_line"
@@ -59,14 +60,24 @@ def write_bronze_csv(df: DataFrame, base: str, name: str) -> None:
 
 
 def read_layer(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A silver or gold Parquet table."""
+    """A silver or gold Parquet table, as of the layer's last commit.
+
+    A dataset without any commit is read as it lies there; folders of a
+    commit that was never finished are not (``NotCommitted``).
+    """
+    layer = Layer(spark, base)
+    manifest = layer.manifest()
+    if name in manifest.tables or layer.is_versioned(name):
+        return layer.read(name, manifest)
     return spark.read.parquet(table_path(base, name))
 
 
 def read_if_exists(spark: SparkSession, base: str, name: str) -> DataFrame | None:
-    """A Parquet table, or None when the path does not exist."""
+    """A Parquet table, or None when there is none."""
     try:
         return read_layer(spark, base, name)
+    except NotCommitted:
+        return None
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None
@@ -74,17 +85,12 @@ def read_if_exists(spark: SparkSession, base: str, name: str) -> DataFrame | Non
 
 
 def write_table(df: DataFrame, base: str, name: str, partition_by: str | None = None) -> None:
-    """S3: full overwrite of a Parquet table, optionally partitioned by a column.
+    """S3: a whole Parquet table, optionally partitioned by a column, in place of the one before.
 
-    A partitioned table is first rebalanced on that column, so a partition
-    gets a few files of the advisory size (AQE splits a large one) instead
-    of one from every task.
+    Readers have the table before until all of the new one is written.
     """
-    if partition_by:
-        df.hint("rebalance", partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(
-            table_path(base, name))
-    else:
-        df.write.mode("overwrite").parquet(table_path(base, name))
+    with Layer(df.sparkSession, base).commit() as change:
+        change.write(df, name, partition_by)
 
 
 def register_views(spark: SparkSession, frames: dict[str, DataFrame]) -> None:
@@ -106,15 +112,19 @@ class RowReport:
         return self.before - self.after
 
 
-def observed_write(raw: DataFrame, clean, base: str, name: str,
-                   partition_by: str | None = None) -> RowReport:
-    """Clean ``raw`` with ``clean`` and write it, counting rows in the same job.
+def observed_write(raw: DataFrame, clean, change: Commit, name: str, partition_by: str | None = None,
+                   write=None) -> RowReport:
+    """Clean ``raw`` with ``clean`` and write it as part of a commit, counting rows in the same job.
 
     Two observations ride on the write plan, so the before/after counts need
-    no extra pass over the data.
+    no extra pass over the data. ``write`` takes the place of writing the
+    whole table.
     """
     before, after = Observation(f"{name}_before"), Observation(f"{name}_after")
     counted = raw.observe(before, F.count(F.lit(1)).alias("rows"))
     cleaned = clean(counted).observe(after, F.count(F.lit(1)).alias("rows"))
-    write_table(cleaned, base, name, partition_by)
+    if write:
+        write(cleaned)
+    else:
+        change.write(cleaned, name, partition_by)
     return RowReport(name, int(before.get["rows"]), int(after.get["rows"]))

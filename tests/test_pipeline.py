@@ -34,12 +34,12 @@ def test_run_layers_end_to_end(spark, workdir):
     staged = io.read_layer(spark, paths.staged, "orders")
     assert dict(staged.dtypes)["store_id"] == "double" and staged.count() == 1500
     # inventory is partitioned by snapshot date
-    assert glob.glob(f"{paths.silver}/inventory.parquet/inventory_date=*")
+    assert glob.glob(f"{paths.silver}/inventory.parquet/layer_version=*/inventory_date=*")
     expected = gold_tables(spark, SF_SMALL)
     for name in GOLD_TABLES:
         assert _same(expected[name], io.read_layer(spark, paths.gold, name)), name
         # every table is published in its order: its files, in the order of their names, are sorted
-        files = sorted(glob.glob(f"{paths.gold}/{name}.parquet/part-*"))
+        files = sorted(glob.glob(f"{paths.gold}/{name}.parquet/layer_version=*/part-*"))
         got = [r for f in files for r in spark.read.parquet(f).collect()]
         assert got == presented(name, expected[name]).select(*got[0].asDict()).collect(), name
     for name in ("check_row_counts", "check_nulls", "check_duplicates"):

@@ -1,0 +1,185 @@
+"""Layers change all at once or not at all."""
+
+import glob
+import os
+import subprocess
+import sys
+import threading
+
+import pytest
+from pyspark.sql import functions as F
+
+from shelfwise.sources import io
+from shelfwise.sources.versions import CommitConflict, Layer, NotCommitted
+from tests.conftest import ROOT
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def table(spark, n, start=0):
+    return spark.range(start, start + n).selectExpr("id", "concat('r', id) AS name")
+
+
+def files(path):
+    return {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{path}/**/part-*", recursive=True)}
+
+
+def test_tables_of_a_commit_appear_together(spark, workdir):
+    layer = Layer(spark, workdir)
+    with layer.commit() as change:
+        change.write(table(spark, 3), "a")
+        assert io.read_if_exists(spark, workdir, "a") is None  # written, not committed
+        with pytest.raises(NotCommitted):
+            io.read_layer(spark, workdir, "a")
+        change.write(table(spark, 2), "b")
+    assert io.read_layer(spark, workdir, "a").count() == 3 and io.read_layer(spark, workdir, "b").count() == 2
+    with layer.commit() as change:
+        change.write(table(spark, 1), "a")
+    assert io.read_layer(spark, workdir, "a").count() == 1 and io.read_layer(spark, workdir, "b").count() == 2
+    assert layer.read("a", layer.manifest(1)).count() == 3  # as of then
+
+
+def test_a_failed_commit_leaves_the_one_before(spark, workdir):
+    io.write_table(table(spark, 3), workdir, "a")
+    before = files(workdir)
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|by zero"):
+        with Layer(spark, workdir).commit() as change:
+            change.write(table(spark, 5), "a")
+            change.write(table(spark, 5).withColumn("x", F.expr("1 / (id - 3)")), "b")
+    assert rows(io.read_layer(spark, workdir, "a")) == rows(table(spark, 3))
+    assert io.read_if_exists(spark, workdir, "b") is None and files(workdir) == before
+
+
+KILLED = """
+import os, sys
+sys.path.insert(0, {root!r})
+from shelfwise.session import build_session
+from shelfwise.sources.versions import Layer
+spark = build_session("local[2]")
+with Layer(spark, {base!r}).commit() as change:
+    change.write(spark.range(50).selectExpr("id", "'new' AS name"), "a")
+    change.write(spark.range(50).selectExpr("id", "id % 2 AS k"), "b", "k")
+    os._exit(9)  # no clean-up of any kind
+"""
+
+
+def test_a_killed_writer_leaves_what_was_there(spark, workdir):
+    io.write_table(table(spark, 3), workdir, "a")
+    done = subprocess.run([sys.executable, "-c", KILLED.format(root=ROOT, base=workdir)], capture_output=True, timeout=300)
+    assert done.returncode == 9, done.stderr[-2000:]
+    assert len(glob.glob(f"{workdir}/a.parquet/layer_version=2-*/part-*")) > 0  # half of a commit lies there
+    assert rows(io.read_layer(spark, workdir, "a")) == rows(table(spark, 3)) and io.read_if_exists(spark, workdir, "b") is None
+    io.write_table(table(spark, 4), workdir, "a")  # and doesn't stand in the way of the next one
+    assert rows(io.read_layer(spark, workdir, "a")) == rows(table(spark, 4))
+    Layer(spark, workdir).clean(keep=1)
+    assert len(glob.glob(f"{workdir}/*.parquet/layer_version=*")) == 1
+    assert rows(io.read_layer(spark, workdir, "a")) == rows(table(spark, 4))
+
+
+def test_two_writers_at_once(spark, workdir):
+    first, second = Layer(spark, workdir).commit(), Layer(spark, workdir).commit()
+    a, b = first.__enter__(), second.__enter__()
+    a.write(table(spark, 1), "a")
+    b.write(table(spark, 2), "a")
+    assert first.__exit__(None, None, None) in (None, False)
+    with pytest.raises(CommitConflict):
+        second.__exit__(None, None, None)
+    assert io.read_layer(spark, workdir, "a").count() == 1
+    assert len(glob.glob(f"{workdir}/a.parquet/layer_version=*")) == 1  # the loser's folder is gone
+
+
+def test_readers_never_see_half_a_table(spark, workdir):
+    io.write_table(table(spark, 100), workdir, "a")
+    seen, stop = set(), threading.Event()
+
+    def read():
+        while not stop.is_set():
+            seen.add(io.read_layer(spark, workdir, "a").count())
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for n in (200, 300, 400):
+        io.write_table(table(spark, n), workdir, "a")
+    stop.set()
+    reader.join()
+    assert seen <= {100, 200, 300, 400}
+
+
+def test_partitions_are_replaced_one_by_one(spark, workdir):
+    days = spark.sql("SELECT id, CAST(date_add(DATE'2024-01-01', CAST(id % 5 AS INT)) AS DATE) AS day, id * 2 AS n FROM range(50) "
+                     "UNION ALL SELECT 99, NULL, 1")
+    layer = Layer(spark, workdir)
+    with layer.commit() as change:
+        change.write(days, "t", "day")
+    before = files(workdir)
+    assert layer.partitions("t") == [None, *(f"2024-01-0{k}" for k in range(1, 6))]
+    new = spark.sql("SELECT 7L AS id, DATE'2024-01-02' AS day, 1L AS n")
+    with layer.commit() as change:
+        change.replace(new, "t", ["2024-01-02", "2024-01-04", "2024-01-09"])  # with rows, without, not there
+    after = files(workdir)
+    assert {f: t for f, t in after.items() if f in before} == before and len(after) - len(before) == 1
+    got = layer.read("t")
+    assert got.columns == ["id", "day", "n"] and dict(got.dtypes)["day"] == "date"
+    want = days.filter("day IS NULL OR NOT day IN (DATE'2024-01-02', DATE'2024-01-04')").unionByName(new)
+    assert rows(got) == rows(want)
+    assert layer.partitions("t") == [None, "2024-01-01", "2024-01-02", "2024-01-03", "2024-01-05"]
+    with layer.commit() as change:
+        change.replace(new.filter("false"), "t", [None])
+    assert None not in layer.partitions("t")
+    with pytest.raises(ValueError, match="not replaced"):
+        with layer.commit() as change:
+            change.replace(new, "t", ["2024-01-01"])
+    assert layer.manifest().number == 3
+    # one scan, and a filter on the partition column opens that folder only
+    plan = layer.read("t").filter("day = DATE'2024-01-05'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1 and "PartitionFilters: [isnotnull(day" in plan
+
+
+def test_appends_and_empty_tables(spark, workdir):
+    layer = Layer(spark, workdir)
+    with layer.commit() as change:
+        change.write(table(spark, 0), "a")
+        change.write(table(spark, 0), "by_name", "name")
+    assert layer.read("a").count() == 0 and layer.read("by_name").columns == ["id", "name"] and layer.partitions("by_name") == []
+    for n in (2, 3):
+        with layer.commit() as change:
+            change.append(table(spark, n, 10 * n), "a")
+            change.append(table(spark, 1), "by_name")
+    assert layer.read("a").count() == 5 and layer.read("by_name").count() == 2
+    for wrong in (table(spark, 1).withColumn("more", F.lit(1)), table(spark, 1).select("id")):
+        with pytest.raises(ValueError, match="other columns"):
+            with layer.commit() as change:
+                change.append(wrong, "a")
+    with pytest.raises(NotCommitted):
+        with layer.commit() as change:
+            change.append(table(spark, 1), "none")
+    with pytest.raises(ValueError, match="no partitions"):
+        with layer.commit() as change:
+            change.replace(table(spark, 1), "a", ["x"])
+
+
+def test_clean_keeps_what_a_commit_refers_to(spark, workdir):
+    layer = Layer(spark, workdir)
+    for n in range(1, 5):
+        with layer.commit() as change:
+            change.write(table(spark, n), "a")
+            if n == 1:
+                change.write(table(spark, 7), "b")
+    gone = layer.clean(keep=2)
+    assert len(gone) == 2 and layer.numbers() == [3, 4]
+    assert layer.read("a", layer.manifest(3)).count() == 3 and layer.read("b").count() == 7
+    open_ = layer.commit()
+    change = open_.__enter__()
+    change.write(table(spark, 9), "a")
+    assert layer.clean(keep=1) and io.read_layer(spark, workdir, "a").count() == 4  # the open commit's folder stays
+    open_.__exit__(None, None, None)
+    assert io.read_layer(spark, workdir, "a").count() == 9
+
+
+def test_datasets_that_others_wrote(spark, workdir):
+    table(spark, 3).write.parquet(f"{workdir}/a.parquet")
+    assert io.read_layer(spark, workdir, "a").count() == 3
+    io.write_table(table(spark, 5), workdir, "a")
+    assert io.read_layer(spark, workdir, "a").count() == 5
