@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.functions import count_when, half_up_mean, half_up_ratio, percent, published, with_total
-from shelfwise.operators.cuts import cut_keys, keyed, segment, whole_part
+from shelfwise.operators.cuts import cut_keys, key_of, keyed, segment, whole_part
 from shelfwise.operators.gold import LATE_DELIVERY_MINUTES
 
 # The simulator's delay cut-off for cancellations and the
@@ -27,15 +27,28 @@ def demand_concentration(sales: DataFrame, top_pct: int = TOP_SHARE_PCT) -> Data
     """Units sold by the top ``top_pct``% of products vs the rest.
 
     Products are ordered by (units desc, product_id); the top segment is the
-    first floor(n * top_pct / 100) of them. The product at its end is found
-    by histograms (:mod:`shelfwise.operators.cuts`): nothing is sorted.
+    first floor(n * top_pct / 100) of them. The number of units at its end is
+    found by histograms (:mod:`shelfwise.operators.cuts`), so nothing is
+    sorted; products with just that number are alike here, whichever of them
+    are in the top segment.
     """
-    rows = keyed(sales.select("product_id", "units_sold"), [("units_sold", True), ("product_id", False)])
-    last = cut_keys(rows, 1, lambda cut, n: whole_part(n * top_pct, F.lit(100)))
-    top = F.struct("_n1", "_k1", "_n2", "_k2") <= last.select("key").scalar()
+    rows = keyed(sales.select("units_sold"), [("units_sold", True)])
+    last = cut_keys(rows, 1, lambda cut, n: whole_part(n * top_pct, F.lit(100))).select(F.struct("key", "taken").alias("x")).scalar()
+    side = F.when(key_of(rows) < last["key"], 0).when(key_of(rows) == last["key"], 1).otherwise(2)
+    name, n, units, one = F.lit(f"top_{top_pct}pct"), F.col("_n"), F.col("_units"), F.col("_one")
+
+    def part(segment: Column, products: Column, units: Column) -> Column:
+        return F.struct(segment.alias("segment"), products.alias("products"), units.alias("units"))
+
+    taken = last["taken"]
+    shares = (F.when(F.col("_side") == 0, F.array(part(name, n, units)))
+              .when(F.col("_side") == 1, F.array(part(name, taken, taken * one), part(F.lit("other"), n - taken, (n - taken) * one)))
+              .otherwise(F.array(part(F.lit("other"), n, units))))
     segments = (
-        rows.groupBy(F.when(top, F.lit(f"top_{top_pct}pct")).otherwise(F.lit("other")).alias("segment"))
-        .agg(F.count(F.lit(1)).alias("products"), F.sum("units_sold").alias("units"))
+        rows.groupBy(side.alias("_side"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum("units_sold").alias("_units"), F.max("units_sold").alias("_one"))
+        .select(F.explode(shares).alias("x")).select("x.*").filter(F.col("products") > 0)
+        .groupBy("segment").agg(F.sum("products").alias("products"), F.sum("units").alias("units"))
     )
     return with_total(segments, "units").select("segment", "products", "units", percent("units", "_total", 2).alias("units_share_pct"))
 

@@ -26,6 +26,7 @@ def test_keys_at_ranks(spark, seed):
     ranks = [1, 2, 7, 26, 50, 51, 0, 52]
     pick = F.array(*[F.lit(r) for r in ranks])
     keys = cut_keys(df, len(ranks), lambda cut, n: pick[cut - 1])
+    assert {r["taken"] for r in keys.collect()} == {1}
     found = {r["cut"]: tuple(r["key"]) for r in keys.collect()}
     by_key = {(r["_n1"], r["_k1"], r["_n2"], r["_k2"]): (r["units"], r["id"]) for r in df.collect()}
     want = ordered(rows, down)
@@ -62,6 +63,13 @@ def test_nothing_is_sorted_by_range_or_run_early(spark):
         assert plan.count("rangepartitioning") <= (1 if "decile" in df.columns else 0)
 
 
+def test_rows_with_one_key(spark):
+    df = keyed(spark.createDataFrame([(u,) for u in [5] * 4 + [3] * 3 + [None] * 2], "units long"), [("units", True)])
+    found = {r["cut"]: (r["key"]["_n1"], ~r["key"]["_k1"], r["taken"]) for r in cut_keys(df, 9, lambda cut, n: cut).collect()}
+    assert [found[c][2] for c in range(1, 10)] == [1, 2, 3, 4, 1, 2, 3, 1, 2]
+    assert [found[c][1] if not found[c][0] else None for c in (1, 4, 5, 7, 8)] == [5, 5, 3, 3, None]
+
+
 def test_segments(spark):
     df = keyed(spark.range(10).selectExpr("id", "0L AS units"), [("units", True), ("id", False)])
     cuts = cut_keys(df, 3, lambda cut, n: cut * 3)
