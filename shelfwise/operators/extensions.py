@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from shelfwise.functions import count_when, half_up_mean, half_up_ratio, percent, published, with_total
 from shelfwise.operators.cuts import cut_keys, key_of, keyed, segment, whole_part
 from shelfwise.operators.gold import LATE_DELIVERY_MINUTES
+from shelfwise.operators.repeats import may_be_in, set_of
 
 # The simulator's delay cut-off for cancellations and the
 # default parameters of the concentration and slow-store rules.
@@ -118,8 +119,8 @@ def duplicate_keys(customers: DataFrame, products: DataFrame) -> DataFrame:
                           ("products", products, "product_id")):
         # a key of one row needs no look at it: the large shuffle moves keys and counts alone
         per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        repeated = per_key.filter(F.col("_n") > 1).select(F.col(key).alias("_k"))
-        rows = df.join(repeated, df[key].eqNullSafe(F.col("_k")), "left_semi").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
+        often = set_of(per_key.filter(F.col("_n") > 1).select(F.xxhash64(key).alias("_h")), "_h")
+        rows = df.filter(may_be_in(often, F.xxhash64(key))).groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_c"))
         conflicting = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_different")).agg(
             count_when(F.col("_different") > 1).alias("conflicting_keys"))
         counts = per_key.agg(F.count(F.lit(1)).alias("keys"), count_when(F.col("_n") > 1).alias("repeated_keys"))

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwise.functions import count_when, half_up_mean, percent, with_total
+from shelfwise.operators.repeats import repeated_rows
 
 # The foreign keys checked (label, fact table, fk column,
 # dimension table, key column), the business columns that identify a
@@ -125,43 +126,11 @@ def slow_stores(tables: dict[str, DataFrame], k: int = SLOW_STORES_K) -> DataFra
     )
 
 
-def row_digest(columns: list[str], bits: int = 128) -> list[Column]:
-    """Two 64-bit hashes of a row, under different seeds; NULLs are values of their own.
-
-    ``bits`` under 128 keeps fewer of them, for tests of what a collision does.
-    """
-    # hashes skip NULLs: a second list says where they are
-    nulls = F.concat(*[F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in columns])
-    low = F.xxhash64(*[F.col(c) for c in columns], nulls)
-    high = F.xxhash64(F.lit("second"), nulls, *[F.col(c) for c in reversed(columns)])
-    if bits >= 128:
-        return [low.alias("_d0"), high.alias("_d1")]
-    return [F.pmod(low, F.lit(1 << bits)).alias("_d0"), F.lit(0).cast("long").alias("_d1")]
-
-
-def repeated_rows(df: DataFrame, columns: list[str], bits: int = 128) -> DataFrame:
-    """(``columns``, _c): groups of equal rows of ``columns`` with more than one row, and how many rows.
-
-    All rows are first counted by a digest of 16 bytes, with map-side
-    combine: that is all of a row that the large shuffle moves. Only rows
-    whose digest occurs more than once go on with their values, and are
-    grouped by these, so a digest that two different rows share adds nothing.
-    The digests that repeat are joined without a hint: the optimizer
-    broadcasts them where they are measured to be few.
-    """
-    digest = row_digest(columns, bits)
-    marked = df.select(*columns, *digest)
-    repeated = (marked.groupBy("_d0", "_d1").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
-                .select("_d0", "_d1"))
-    return (marked.join(repeated, ["_d0", "_d1"], "left_semi").groupBy(*columns)
-            .agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > 1))
-
-
 def duplicate_counts(tables: dict[str, DataFrame], bits: int = 128) -> DataFrame:
     """Rows beyond the first of each group of identical rows (NULLs equal).
 
     order_items are compared on their business columns. Rows are compared
-    themselves only where their digests repeat (:func:`repeated_rows`).
+    themselves only where their digests repeat (:func:`repeats.repeated_rows`).
     """
     frames = []
     for name, df in tables.items():

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.operators import extensions as ext
-from shelfwise.operators import gold, profile, state
+from shelfwise.operators import gold, profile, repeats, state
 from shelfwise.plans import increments, layers
 from shelfwise.plans.registry import queries
 from shelfwise.sources import fixtures, io
@@ -215,9 +215,10 @@ def test_orphans_meet_in_one_aggregate(spark):
     assert list(itertools.chain(got)) and dict(profile.orphan_counts(tables).dtypes) == {"fk": "string", "n": "bigint"}
 
 
-@pytest.mark.parametrize("bits", [128, 3, 0])
-def test_rows_whose_digests_collide(spark, bits):
-    """Rows are told apart by their values, whatever their digests do."""
+@pytest.mark.parametrize("bits,cells", [(128, repeats.CELLS), (128, 1), (3, 4), (0, 4)])
+def test_rows_whose_digests_collide(spark, monkeypatch, bits, cells):
+    """Rows are told apart by their values, whatever their digests do and however full the set of them is."""
+    monkeypatch.setattr(repeats, "CELLS", cells)
     rng = random.Random(9)
     rows = [(rng.randint(1, 4), rng.choice(["a", "", None, "ab"]), rng.choice([Decimal("1.00"), None])) for _ in range(120)] + [(77, "only", None)]
     df = spark.createDataFrame(rows, "k long, s string, d decimal(12,2)")
@@ -230,9 +231,19 @@ def test_rows_whose_digests_collide(spark, bits):
     assert empty == {"customers": 0}
 
 
+def test_rows_that_do_not_repeat_stay_where_they_are(spark):
+    """What is shuffled of a row that doesn't repeat is its digest: 16 bytes and a count."""
+    df = spark.range(20_000).selectExpr("id % 19990 AS k", "repeat(string(id % 19990), 40) AS s")
+    plan = profile.duplicate_counts({"customers": df})._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [_d0" not in plan and plan.count("Exchange hashpartitioning(k") == 1  # behind the filter
+    assert repeats.repeated_rows(df, ["k", "s"]).count() == 10
+    left = df.filter(repeats.may_be_in(repeats.set_of(df.select(F.xxhash64("k").alias("h")).filter("h = 0"), "h"), F.xxhash64("k")))
+    assert left.count() == 0
+
+
 def test_digests_of_rows_with_nulls_differ(spark):
     df = spark.createDataFrame([(None, 1), (1, None), (1, 1), (None, None)], "a long, b long")
-    assert df.select(*profile.row_digest(["a", "b"])).distinct().count() == 4
+    assert df.select(*repeats.row_digest(["a", "b"])).distinct().count() == 4
 
 
 def test_conflicting_keys_of_hot_and_null_ids(spark):
