@@ -23,21 +23,25 @@ Every sequence so has exactly ``size`` tokens or a power of two of them.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
-from collections.abc import Callable, Iterator
-from itertools import chain
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from shelfwise.llm.graph import saved
+from shelfwise.llm.packing import _byte_of_character as byte_of_character
 from shelfwise.llm.tables import written
-from shelfwise.llm.words import given_back
+from shelfwise.llm.words import given_back, slices, utf8
 
 SIZE = 2048
 END_ID = 1
@@ -50,10 +54,15 @@ QUERY_TERMS = 8
 #: BM25's saturation and length parameters.
 K1, B = 1.2, 0.75
 #: Words whose ids a Python worker remembers, and unknown ones encoded at once.
-KNOWN_WORDS, TOGETHER = 500_000, 2000
+KNOWN_WORDS, TOGETHER = 1_000_000, 2000
 #: Bytes of text looked at together.
 SLICE = 4 << 20
 
+#: Ends a part of a word in the faster engine; a byte that plain words don't have.
+_MARK = b"\x01"
+#: Words whose normal form is their lower case, one character for one: ASCII, and Latin letters with their accents.
+_PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017e]+")
+
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -61,65 +70,94 @@ class WordEncoder:
     """Token ids of whole texts, word by word, for a tokenizer file that drops white space.
 
     The vocabulary's pattern lets no token reach over white space, so a
-    text's ids are its words' ids. Words are told apart by their bytes, each
-    new one is encoded by the tokenizer itself, several in one text between
-    spaces; where each of them begins, the offsets of its tokens tell.
+    text's ids are its words' ids. Words are told apart by their bytes, and
+    each is encoded once while it is remembered. Words of plain Latin letters,
+    digits and signs go through a faster engine with the file's own
+    vocabulary; in it, a mark after each part of a word stands for the file's
+    sign of a word's end. All others are encoded by the tokenizer itself,
+    several in one text; the offsets of tokens tell where each begins.
     """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one core
+        import tiktoken
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self._tokenizer.get_vocab_size(with_added_tokens=True)
+        with open(path, encoding="utf-8") as file:
+            contents = json.load(file)
+        model, end = contents["model"], contents["model"]["end_of_word_suffix"]
+        self._added = re.compile("|".join(re.escape(t["content"]) for t in contents.get("added_tokens") or []) or "(?!)")
+        split = contents["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self._parts = regex.compile(split)
+        byte = byte_of_character()
+        spelled = {}  # bytes, with the mark for a word's end, of each token but the added ones
+        for token, i in model["vocab"].items():
+            ends = bool(end) and token.endswith(end) and token != end
+            body = token[:-len(end)] if ends else token
+            if all(c in byte for c in body):
+                spelled[bytes(byte[c] for c in body) + (_MARK if ends else b"")] = i
+        # single bytes first, then bytes that end a word, then merges in the file's order
+        merged = ["".join(m if isinstance(m, list) else m.split(" ")) for m in model["merges"]]
+        order = [bytes([b]) for b in range(256)] + [bytes([b]) + _MARK for b in range(256)]
+        for token in merged:
+            ends = token.endswith(end)
+            order.append(bytes(byte[c] for c in (token[:-len(end)] if ends else token)) + (_MARK if ends else b""))
+        ranks = {token: r for r, token in enumerate(dict.fromkeys(order))}
+        self._engine = tiktoken.Encoding("words", pat_str=f"[^{_MARK.decode()} ]+{_MARK.decode()}| ", mergeable_ranks=ranks, special_tokens={})
+        self._id_of_rank = np.array([spelled.get(token, -1) for token in ranks], dtype=np.int64)
         self.forget()
 
     def forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self._starts, self._ids = [np.zeros(1, np.int64)], [np.zeros(0, np.uint32)]
-
-    def _learn(self, new: list[bytes]) -> None:
-        for at in range(0, len(new), TOGETHER):
-            part = [w.decode() for w in new[at:at + TOGETHER]]
-            begins = np.cumsum([0] + [len(w) + 1 for w in part[:-1]])
-            encoded = self._tokenizer.encode(" ".join(part), add_special_tokens=False)
-            firsts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.ids))
-            ends = np.append(np.searchsorted(firsts, begins[1:]), len(firsts))
-            self._starts.append(self._starts[-1][-1] + ends)
-            self._ids.append(np.array(encoded.ids, dtype=np.uint32))
-        self._number.update(zip(new, range(len(self._number), len(self._number) + len(new))))
-        self._starts, self._ids = [np.concatenate(self._starts)], [np.concatenate(self._ids)]
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in a row, and where each text's begin (one more than texts)."""
-        words = [t.split() for t in texts]  # at ASCII white space
-        flat = list(chain.from_iterable(words))
+        self._number: dict[str, int] = {"": 0}
+        self._starts, self._ids = np.zeros(2, np.int64), np.zeros(0, np.uint32)
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode words, none known yet, those of the faster engine first."""
+        plain, odd = [], []
+        for word in new:
+            (plain if _PLAIN.fullmatch(word) else odd).append(word)
+        starts, ids = [self._starts], [self._ids]
+        for own, encode in ((plain, self._encode_plain), (odd, self._encode_odd)):
+            for at in range(0, len(own), TOGETHER):
+                found, ends = encode(own[at:at + TOGETHER])
+                starts.append(starts[-1][-1] + ends)
+                ids.append(found)
+        self._number.update(zip(plain + odd, range(len(self._number), len(self._number) + len(new)), strict=True))
+        self._starts, self._ids = np.concatenate(starts), np.concatenate(ids)
+
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and where each word's end."""
+        text = " ".join(words)
+        if self._added.search(text):
+            return self._encode_odd(words)
+        marked = self._parts.sub(f"\\g<0>{_MARK.decode()}", text.lower())
+        ranks = self._engine.encode_to_numpy(marked)
+        ids, gap = self._id_of_rank[ranks], ranks == ord(" ")  # single bytes are their own ranks
+        ends = np.append(np.flatnonzero(gap) - np.arange(len(words) - 1), len(ids) - (len(words) - 1))
+        return ids[~gap].astype(np.uint32), ends
+
+    def _encode_odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        begins = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
+        encoded = self._tokenizer.encode(" ".join(words), add_special_tokens=False)
+        firsts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.ids))
+        return np.array(encoded.ids, dtype=np.uint32), np.append(np.searchsorted(firsts, begins[1:]), len(firsts))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's begin (one more than texts); null is empty."""
+        lists = pc.ascii_split_whitespace(texts.fill_null(""))
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
         if len(self._number) > KNOWN_WORDS:
             self.forget()
-        new = set(flat).difference(self._number)
-        if new:
-            self._learn(list(new))
-        counts = np.array([len(own) for own in words], dtype=np.int64)
-        number = np.fromiter(map(self._number.__getitem__, flat), np.int64, len(flat))
-        starts, ids = self._starts[0], self._ids[0]
-        first, sizes = starts[number], starts[number + 1] - starts[number]
+        if new := [w for w in words if w not in self._number]:
+            self._learn(new)
+        number = np.fromiter(map(self._number.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        first, sizes = self._starts[number], self._starts[number + 1] - self._starts[number]
         total = np.concatenate([[0], np.cumsum(sizes)])
-        every = ids[np.arange(total[-1]) + np.repeat(first - total[:-1], sizes)]
-        return every, total[np.concatenate([[0], np.cumsum(counts)])]
-
-
-def _text_slices(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
-    """(first row, texts) of at most ``SLICE`` bytes, or one longer text; null is empty."""
-    first, part, size = 0, [], 0
-    for row, text in enumerate(texts):
-        text = text or b""
-        if part and size + len(text) > SLICE:
-            yield first, part
-            first, part, size = row, [], 0
-        part.append(text)
-        size += len(text)
-    if part:
-        yield first, part
+        ids = self._ids[np.arange(total[-1]) + np.repeat(first - total[:-1], sizes)]
+        return ids, total[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
 
 
 def _encode(tokenizer: str, size: int, end_id: int, ids_as: str, schema: pa.Schema) -> Callable:
@@ -134,8 +172,9 @@ def _encode(tokenizer: str, size: int, end_id: int, ids_as: str, schema: pa.Sche
         frequency = np.zeros(max(encoder.vocabulary, end_id + 1), dtype=np.int64)
         documents = tokens = 0
         for batch in batches:
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            for first, part in _text_slices(texts):
+            offsets, _ = utf8(batch.column("text"))
+            for first, after in slices(offsets, SLICE):
+                part = batch.column("text").slice(first, after - first)
                 ids, bounds = encoder.encode(part)
                 out = {name: [] for name in ("row", "doc_tokens", "whole", "crcs", "tail")}
                 for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
@@ -170,18 +209,16 @@ def telling_terms(pieces: list[np.ndarray], rank: np.ndarray) -> np.ndarray:
     """
     none = len(rank)
     out = np.full((len(pieces), KEYS), -1, dtype=np.int32)
-    if not pieces:
-        return out
-    owner = np.repeat(np.arange(len(pieces), dtype=np.uint64), [len(p) for p in pieces])
-    ranks = rank[np.concatenate(pieces)]
-    known = ranks < none
-    pairs = np.unique(owner[known] << np.uint64(32) | ranks[known].astype(np.uint64))
-    owner = (pairs >> np.uint64(32)).astype(np.int64)
-    begin, end = np.searchsorted(owner, np.arange(len(pieces))), np.searchsorted(owner, np.arange(len(pieces)), side="right")
-    end = np.minimum(end, begin + TELLING)
-    for k in range(KEYS):
-        has = end - 1 - k >= begin
-        out[has, k] = (pairs[end[has] - 1 - k] & np.uint64(0xFFFFFFFF)).astype(np.int32)
+    for row, piece in enumerate(pieces):
+        ranks = rank[piece]
+        few = 4 * TELLING
+        while True:  # mostly there are enough different ones among the least few
+            least = np.unique(np.partition(ranks, few)[:few] if few < len(ranks) else ranks)
+            if len(least) >= TELLING or few >= len(ranks):
+                break
+            few *= 4
+        least = least[least < none][:TELLING][::-1][:KEYS]
+        out[row, :len(least)] = least
     return out
 
 
@@ -197,42 +234,42 @@ def _placed(rank: np.ndarray, ids_as: str) -> Callable:
     return run
 
 
-def index_weights(terms: np.ndarray, docs: np.ndarray, n_docs: int, idf: np.ndarray,
-                  average: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(document, term, BM25 weight) of each distinct term of each document, by document and term."""
-    pairs, tf = np.unique(docs.astype(np.int64) << 32 | terms, return_counts=True)
-    doc, term = pairs >> 32, pairs & 0xFFFFFFFF
-    length = np.bincount(docs, minlength=n_docs)[doc]
-    return doc, term, idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / average))
-
-
 class ShardIndex:
-    """An inverted index over a shard's pieces; used ones are left out of answers."""
+    """An inverted index over a shard's pieces; used ones are left out of answers.
+
+    It holds the terms that any piece asks for. A piece asks for its
+    heaviest terms, ties to the smaller id.
+    """
 
     def __init__(self, pieces: list[np.ndarray], idf: np.ndarray, average: float, query_terms: int = QUERY_TERMS) -> None:
-        n = len(pieces)
-        sizes = np.array([len(p) for p in pieces])
-        doc, term, weight = index_weights(np.concatenate(pieces), np.repeat(np.arange(n), sizes), n, idf, average)
-        # a piece's query: its heaviest terms, ties to the smaller id
-        order = np.lexsort((term, -weight, doc))
-        begin = np.searchsorted(doc, np.arange(n + 1))
-        place = np.arange(len(doc)) - begin[doc[order]]
-        chosen = order[(place < query_terms) & (weight[order] > 0)]
-        self._query_of = np.searchsorted(doc[chosen], np.arange(n + 1))
-        self._query = term[chosen]
-        by_term = np.argsort(term, kind="stable")
-        self._terms, self._first = np.unique(term[by_term], return_index=True)
-        self._end = np.append(self._first[1:], len(term))
-        self._docs, self._weights = doc[by_term], weight[by_term]
-        self.unused = np.ones(n, dtype=bool)
+        found, self._query = [], []
+        for piece in pieces:
+            terms, tf = np.unique(piece, return_counts=True)
+            weight = idf[terms] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(piece) / average))
+            found.append((terms, weight))
+            few = np.argsort(-weight, kind="stable")[:query_terms]
+            self._query.append(terms[few[weight[few] > 0]])
+        asked = np.zeros(len(idf), dtype=bool)
+        asked[np.concatenate(self._query)] = True
+        docs, terms, weights = [], [], []
+        for doc, (own, weight) in enumerate(found):
+            held = asked[own]
+            terms.append(own[held])
+            weights.append(weight[held])
+            docs.append(np.full(len(terms[-1]), doc))
+        term = np.concatenate(terms)
+        order = np.argsort(term, kind="stable")
+        self._docs, self._weights = np.concatenate(docs)[order], np.concatenate(weights)[order]
+        self._bounds = np.searchsorted(term[order], np.arange(len(idf) + 1))
+        self.unused = np.ones(len(pieces), dtype=bool)
 
     def scores(self, seed: int) -> np.ndarray:
         """The BM25 score of every piece for the query of ``seed``; zero once used."""
-        at = np.searchsorted(self._terms, self._query[self._query_of[seed]:self._query_of[seed + 1]])
-        if not len(at):
-            return np.zeros(len(self.unused))
-        found = np.concatenate([np.arange(a, b) for a, b in zip(self._first[at], self._end[at], strict=True)])
-        return np.bincount(self._docs[found], self._weights[found], len(self.unused)) * self.unused
+        out = np.zeros(len(self.unused))
+        for term in self._query[seed].tolist():
+            a, b = self._bounds[term], self._bounds[term + 1]
+            out[self._docs[a:b]] += self._weights[a:b]  # a piece is there once
+        return out * self.unused
 
 
 def windows(lengths: list[int], index: ShardIndex, size: int) -> list[list[tuple[int, int, int]]]:

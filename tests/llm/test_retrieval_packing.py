@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -26,7 +27,7 @@ def whole_ids(texts):
 
 
 def encoded(texts, encoder=None):
-    ids, bounds = (encoder or rp.WordEncoder(PATH)).encode([(t or "").encode() for t in texts])
+    ids, bounds = (encoder or rp.WordEncoder(PATH)).encode(pa.array(texts, pa.string()))
     return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
 
 
@@ -34,7 +35,9 @@ def test_ids_are_the_tokenizers_own(monkeypatch):
     given = pd.read_parquet(f"{SF_SMALL}/documents.parquet")["text"].tolist()
     rng = random.Random(2)
     odd = [rng.choice([" ", "\n", "\t\t", "  ", "\r\n"]).join(rng.choices(ODD, k=rng.randint(1, 9))) for _ in range(300)]
-    texts = given + [t for _, t in DOCS] + ODD + odd
+    letters = [chr(c) for c in [*range(1, 127), *range(0xa0, 0x250)]]
+    words = [" ".join("".join(rng.choices(letters, k=rng.randint(1, 9))) for _ in range(20)) for _ in range(200)]
+    texts = given + [t for _, t in DOCS] + ODD + odd + words
     want = whole_ids(texts)
     assert encoded(texts) == want
     monkeypatch.setattr(rp, "KNOWN_WORDS", 50)  # words are forgotten on the way
