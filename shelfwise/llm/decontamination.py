@@ -9,7 +9,8 @@ word for word, in a join with the benchmark's windows.
 
 The set holds ``MAX_SET`` hashes at most. For a larger benchmark the look-up
 is left out, and the join itself, then of all windows and without a broadcast
-hint, finds the same hits.
+hint, finds the same hits. A window's items are one list, so a window that many
+items share is one row of that join.
 """
 
 from __future__ import annotations
@@ -43,11 +44,15 @@ def _let(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _grams(tokens: Column, size: int, wanted: list[int] | None) -> Column:
-    """(pos, len, gram) of the windows of ``size`` words; only those whose hash is wanted, if given."""
+def _hashes(tokens: Column) -> Column:
+    return F.transform(tokens, lambda w: F.xxhash64(w))
+
+
+def _grams(tokens: Column, hashes: Column, size: int, wanted: list[int] | None) -> Column:
+    """(pos, len, gram) of the windows of ``size`` words; only those whose hash, of their words' hashes, is wanted, if given."""
     last = F.size(tokens) - size + 1
     at = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1))), lambda i: i <= last if wanted is None else (
-        (i <= last) & F.xxhash64(F.slice(tokens, i, size)).isin(wanted)))
+        (i <= last) & F.xxhash64(F.slice(hashes, i, size)).isin(wanted)))
     return F.transform(at, lambda i: F.struct(
         i.alias("pos"), F.lit(size).alias("len"), F.concat_ws(" ", F.slice(tokens, i, size)).alias("gram")))
 
@@ -56,44 +61,48 @@ def benchmark_windows(benchmark: DataFrame, item_col: str, text_col: str, window
     """(item, len, gram, hash) of all distinct windows; items without words have none."""
     cut = benchmark.select(F.col(item_col).alias("item"), words(F.col(text_col)).alias("w"))
     cut = cut.where(F.size("w") > 0).withColumn("len", F.least(F.size("w"), F.lit(window)))
-    at = cut.select("item", "len", "w", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1)).alias("i"))
-    part = F.slice("w", F.col("i"), F.col("len"))
-    return at.select("item", "len", F.concat_ws(" ", part).alias("gram"), F.xxhash64(part).alias("hash")).distinct()
+    cut = cut.withColumn("h", _hashes(F.col("w")))
+    at = cut.select("item", "len", "w", "h", F.explode(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1)).alias("i"))
+    return at.select("item", "len", F.concat_ws(" ", F.slice("w", F.col("i"), F.col("len"))).alias("gram"),
+                     F.xxhash64(F.slice("h", F.col("i"), F.col("len"))).alias("hash")).distinct()
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   max_set: int = MAX_SET) -> DataFrame:
-    """(``id_col``, key, n_words, hits, items) for every document.
+    """(``id_col``, key, n_words, hits, items) for every row of ``docs``.
 
     ``hits`` are the positions (from 1) of the words inside any occurrence
     of a window, ascending; ``items`` the distinct ids, as strings, of items
     with such a window, sorted. ``key`` is a hash of id and text.
 
     Null or empty text, of a document or an item: no words, no hits. A null
-    item id adds hits but no item. Repeated rows give one row each only if
-    their ids or texts differ; others are one row. Other columns of
-    ``docs`` and ``benchmark`` play no part. Empty tables are allowed.
+    item id adds hits but no item. Repeated rows give a row each. Other
+    columns of ``docs`` and ``benchmark`` play no part. Empty tables are
+    allowed.
     """
     grams = benchmark_windows(benchmark, item_col, item_text_col, window)
     lengths = [r["len"] for r in grams.select("len").distinct().collect()]  # at most ``window`` of them
     hashes = [r["hash"] for r in grams.select("hash").distinct().limit(max_set + 1).collect()]
     small = len(hashes) <= max_set
     none = F.array().cast("array<struct<pos:int,len:int,gram:string>>")
-    look = _let(words(F.col(text_col)), lambda w: F.struct(
+    look = _let(words(F.col(text_col)), lambda w: _let(_hashes(w), lambda h: F.struct(
         F.size(w).cast("long").alias("n_words"),
-        F.concat(none, *[_grams(w, size, hashes if small else None) for size in sorted(lengths)]).alias("found")))
-    spread = (docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"), look.alias("look"))
-              .select("id", "key", "look.n_words", F.explode_outer("look.found").alias("f"))
-              .select("id", "key", "n_words", "f.pos", "f.len", "f.gram"))
-    right = grams.select("item", "gram", F.col("len").alias("size"))
+        F.concat(none, *[_grams(w, h, size, hashes if small else None) for size in sorted(lengths)]).alias("found"))))
+    # a row's number tells it from its copies; all that is found in it comes from the one task that reads it
+    spread = (docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("key"),
+                          F.monotonically_increasing_id().alias("row"), look.alias("look"))
+              .select("id", "key", "row", "look.n_words", F.explode_outer("look.found").alias("f"))
+              .select("id", "key", "row", "n_words", "f.pos", "f.len", "f.gram"))
+    right = (grams.groupBy(F.col("gram").alias("same"), F.col("len").alias("size"))
+             .agg(F.collect_set(F.col("item").cast("string")).alias("named")))
     matched = spread.join(F.broadcast(right) if small else right,
-                          (spread["gram"] == right["gram"]) & (spread["len"] == right["size"]), "left")
+                          (spread["gram"] == right["same"]) & (spread["len"] == right["size"]), "left")
     covered = F.when(F.col("size").isNotNull(), F.sequence("pos", F.col("pos") + F.col("len") - 1))
-    return (matched.groupBy("id", "key", "n_words")
+    return (matched.groupBy("id", "key", "row", "n_words")
             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(covered)))).alias("hits"),
-                 F.array_sort(F.collect_set(F.col("item").cast("string"))).alias("items"))
-            .withColumnRenamed("id", id_col))
+                 F.array_sort(F.array_distinct(F.flatten(F.collect_set("named")))).alias("items"))
+            .drop("row").withColumnRenamed("id", id_col))
 
 
 def without_words(text: Column, hits: Column) -> Column:
