@@ -29,12 +29,18 @@ from shelfwise.llm.graph import saved
 
 BLOCK, QUERY_BLOCK = 4096, 512
 HEAD = 16
-#: Scaled components must stay under this, so that 64-bit floats add their products exactly.
-LARGEST = 2.0**21
+#: Products of vectors whose norms have a product up to this are added exactly in 64-bit floats; beyond, in whole numbers.
+EXACT = 2.0**52
+_LEAST, _MOST = -(2**63), 2**63 - 1
 
 
 def _scaled(vector: Column, scale: int) -> Column:
-    return F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x.cast("double")).cast("double"))
+    """floor(scale * x) as doubles, which hold such numbers of any size: from 2^53 on, all doubles are whole."""
+    def one(x: Column) -> Column:
+        y = F.lit(float(scale)) * x.cast("double")
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(y)
+
+    return F.transform(vector, one)
 
 
 def _valid(vector: Column) -> Column:
@@ -82,7 +88,7 @@ def _to_blocks(width: int, size: int):
             number += 1
             return pa.RecordBatch.from_arrays([
                 pa.array([number], pa.int64()), pa.array([float(np.sqrt((m * m).sum(axis=1)).max())]),
-                pa.array([i.tobytes()], pa.binary()), pa.array([m.astype(np.int32).tobytes()], pa.binary()),
+                pa.array([i.tobytes()], pa.binary()), pa.array([_bytes(m)], pa.binary()),
             ], names=["block", "norm", "ids", "vectors"])
 
         for batch in batches:
@@ -102,27 +108,53 @@ def _to_blocks(width: int, size: int):
 _BLOCK_COLUMNS = "block long, norm double, ids binary, vectors binary"
 
 
+def _bytes(m: np.ndarray) -> bytes:
+    """Whole numbers as 32-bit ones, or as doubles where one is larger."""
+    return (m.astype(np.int32) if np.abs(m).max(initial=0) < 2.0**31 else m).tobytes()
+
+
 def _read(ids: bytes, vectors: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.frombuffer(ids, np.int64), np.frombuffer(vectors, np.int32).reshape(-1, width).astype(np.float64)
+    numbers = np.frombuffer(ids, np.int64)
+    kind = np.int32 if len(vectors) == 4 * len(numbers) * width else np.float64
+    return numbers, np.frombuffer(vectors, kind).reshape(-1, width).astype(np.float64)
+
+
+def _scores(v: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products of the rows of ``v`` with ``q``, whole numbers in doubles, as longs; larger ones as the largest."""
+    bound = float(np.sqrt((v * v).sum(axis=1).max(initial=0)) * np.sqrt((q * q).sum()))
+    if bound < EXACT:
+        return (v @ q).astype(np.int64)
+    if not np.isfinite(bound) or bound >= 2.0**62 or max(np.abs(v).max(initial=0), np.abs(q).max(initial=0)) >= 2.0**62:
+        whole = [int(y) for y in q]
+        return np.array([min(_MOST, max(_LEAST, sum(int(x) * y for x, y in zip(row, whole, strict=True)))) for row in v.tolist()], dtype=np.int64)
+    return v.astype(np.int64) @ q.astype(np.int64)
 
 
 def best_of_block(q_ids, q, v_ids, v, rotation, least, k):
     """(query, id, score) rows: each query's k best of the block that reach its ``least`` score."""
     head = min(HEAD, rotation.shape[1])
+    largest = max(np.abs(q).max(initial=1), np.abs(v).max(initial=1))
+    if largest > 1e100:  # squares stay finite
+        every = np.ones(len(v_ids), dtype=bool)
+        return _best([(query, row, every & (v_ids != query)) for row, query in enumerate(q_ids)], q, v_ids, v, least, k)
     rq, rv = q @ rotation, v @ rotation
     rest_q = np.sqrt((rq[:, head:] ** 2).sum(axis=1))
     rest_v = np.sqrt((rv[:, head:] ** 2).sum(axis=1))
     bound = rq[:, :head] @ rv[:, :head].T + rest_q[:, None] * rest_v[None, :]
     bound += 1e-9 * (1 + np.sqrt((rq**2).sum(axis=1))[:, None] * np.sqrt((rv**2).sum(axis=1))[None, :])  # rounding
+    return _best([(query, row, (bound[row] >= least[row]) & (v_ids != query)) for row, query in enumerate(q_ids)], q, v_ids, v, least, k)
+
+
+def _best(candidates, q, v_ids, v, least, k):
     out = []
-    for row, query in enumerate(q_ids):
-        at = np.flatnonzero((bound[row] >= least[row]) & (v_ids != query))
+    for query, row, open_ in candidates:
+        at = np.flatnonzero(open_)
         if not len(at):
             continue
-        score = v[at] @ q[row]
-        keep = np.lexsort((v_ids[at], -score))[:k]
+        score = _scores(v[at], q[row])
+        keep = np.lexsort((v_ids[at], ~score))[:k]  # ~ reverses the order of all longs
         keep = keep[score[keep] >= least[row]]
-        out.append((np.full(len(keep), query), v_ids[at][keep], score[keep].astype(np.int64)))
+        out.append((np.full(len(keep), query), v_ids[at][keep], score[keep]))
     return tuple(np.concatenate(c) if out else np.zeros(0, np.int64) for c in (zip(*out) if out else ((), (), ())))
 
 
@@ -131,9 +163,9 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 10
     """(query_id, rank, id, score): each query's ``k`` highest integer inner products with all other vectors.
 
     Rows whose id is null, or whose vector is null or holds a null or a
-    component that isn't finite, take no part; nor do components beyond
-    ``LARGEST`` once scaled (an error is raised). Shorter vectors are filled
-    up with zeros. Of rows with one id the greatest vector counts. A query
+    component that isn't finite, take no part. Components of any other size
+    are exact; a score beyond the longs is given as the nearest one. Shorter
+    vectors are filled up with zeros. Of rows with one id the greatest vector counts. A query
     with fewer than ``k`` others gets them all; no query, no other vector
     or only vectors without components: no rows. Other columns play no part.
     """
@@ -141,14 +173,12 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 10
               .select(F.col(id_col).cast("long").alias("id"), is_query.alias("q"), _scaled(F.col(vector_col), scale).alias("v"))
               .groupBy("id", "q").agg(F.max("v").alias("v")))
     usable = saved(usable.withColumn("norm2", F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)))
-    facts = usable.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width"),
-                       F.max(F.array_max(F.transform("v", lambda x: F.abs(x)))).alias("largest")).first()
+    facts = usable.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("width")).first()
     if not facts["n"] or not facts["width"]:
         return spark.createDataFrame([], "query_id long, rank int, id long, score long")
-    if facts["largest"] > LARGEST:
-        raise ValueError(f"a scaled component is larger than {LARGEST:.0f}")
     width = facts["width"]
-    values, basis = np.linalg.eigh(_second_moments(usable, width))
+    moments = _second_moments(usable, width)
+    values, basis = np.linalg.eigh(moments if np.isfinite(moments).all() else np.eye(width))
     rotation = basis[:, np.argsort(-values)]
 
     parts = max(1, -(-facts["n"] // BLOCK))
@@ -170,7 +200,7 @@ def top_k(spark: SparkSession, vectors: DataFrame, is_query: Column, k: int = 10
                 for x in np.unique(query):
                     own = score[query == x]
                     if len(own) >= k:
-                        least[order[int(x)]] = own.min()
+                        least[order[int(x)]] = np.nextafter(float(own.min()), -np.inf)  # long to double may round up
                 yield pa.RecordBatch.from_pylist([{"q_block": row["q_block"], "q_norm": row["q_norm"], "q_ids": row["q_ids"],
                                                    "q_vectors": row["q_vectors"], "least": least.tobytes(),
                                                    "lowest": float(least.min())}], schema=seeded_schema)

@@ -2,6 +2,7 @@
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwise.llm import decontamination, near_dedup, substring_dedup, top_k
 from shelfwise.llm.queries import ORACLE_SQL, QUERIES
@@ -11,6 +12,7 @@ from tests.llm.cases import DOCS, by_sql, frame, same_rows, text
 BENCH = [(1, text(25, 45)), (2, "short text"), (3, None), (4, ""), (5, text(300, 312)), (6, text(390, 396)), (6, "never seen at all"),
          (None, text(210, 222))]
 UNIQUE = [r for n, r in enumerate(DOCS) if r not in DOCS[:n]]
+UNIQUE_IDS = [r for r in UNIQUE if r[0] is not None]
 
 
 def tables(*names):
@@ -42,16 +44,24 @@ def test_repeated_rows_repeat_their_passages(spark):
     assert [(r["n_words"], r["n_removed"]) for r in out.collect()] == [(40, 40)] * 2
 
 
-def test_contamination_on_odd_rows(spark):
-    bench = spark.createDataFrame(BENCH, "item_id long, text string")
-    want = by_sql(decontamination.OP2_SQL, documents=documents([r for r in UNIQUE if r[0] is not None]),
-                  benchmark=documents(BENCH).rename(columns={"doc_id": "item_id"})).df().set_index("doc_id")
-    for limit in (10_000, 0):  # with the set of hashes, and beyond its size
-        got = {r["doc_id"]: r for r in decontamination.contamination(frame(spark, UNIQUE), bench, max_set=limit).collect()}
-        for i in want.index:
-            assert (got[i]["n_words"], len(got[i]["hits"])) == (want.loc[i, "n_words"], want.loc[i, "n_hit"])
-            if i not in (10, 11):  # hit by the item without an id, which SQL counts and we don't
-                assert len(got[i]["items"]) == want.loc[i, "n_items"]
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_contamination_on_odd_rows(spark, limit):
+    """With the set of hashes, and beyond its size; repeated rows give a row each."""
+    bench = spark.createDataFrame(BENCH, "item_id long, text string").selectExpr("*", "1 AS gram", "2 AS hash")
+    rows = [r for r in DOCS if r[0] is not None]
+    found = decontamination.contamination(frame(spark, rows), bench, max_set=limit)
+    got = sorted((r["doc_id"], r["n_words"], len(r["hits"]), len(r["items"])) for r in found.collect())
+    # SQL counts the item without an id, which hits 10, as one; it sees repeated rows as one document
+    want = by_sql(decontamination.OP2_SQL, documents=documents(UNIQUE_IDS), benchmark=documents(BENCH).rename(columns={"doc_id": "item_id"})).df()
+    want = {r.doc_id: (r.n_words, r.n_hit, r.n_items - (r.doc_id == 10)) for r in want.itertuples()}
+    assert got == sorted((i, *want[i]) for i, _ in rows)
+
+
+def test_one_window_of_many_items(spark):
+    docs = spark.createDataFrame([(1, text(0, 40)), (1, text(0, 40)), (2, text(50, 90))], "doc_id long, text string")
+    bench = spark.range(500).selectExpr("id AS item_id").withColumn("text", F.lit(text(10, 22)))
+    got = decontamination.contamination(docs, bench).collect()
+    assert sorted((r["doc_id"], len(r["hits"]), len(r["items"])) for r in got) == [(1, 12, 500), (1, 12, 500), (2, 0, 0)]
 
 
 def test_decontaminated_texts(spark):
@@ -117,6 +127,29 @@ def test_top_k_prunes_without_loss_over_many_blocks(spark, monkeypatch):
     same_rows(out, by_sql(top_k.OP7_SQL, embeddings=table))
 
 
+@pytest.mark.parametrize("size", [5e3, 3e6, 4e8, 1e30, 1e200])
+@pytest.mark.parametrize("width", [3, 2500])
+def test_top_k_of_large_components(spark, monkeypatch, size, width):
+    """Whole numbers of any size, against Python's own; scores beyond the longs are cut off there."""
+    import math
+
+    import numpy as np
+
+    monkeypatch.setattr(top_k, "BLOCK", 30)
+    g = np.random.default_rng(int(math.log10(size)))
+    v = g.normal(size=(80 if width < 9 else 40, width)) * np.where(np.arange(80 if width < 9 else 40) % 4 == 0, size, 1)[:, None]
+    table = [(i, x.tolist()) for i, x in enumerate(v)]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    whole = {i: [int(x) * 1024 if abs(x) > 2**53 else math.floor(1024 * x) for x in row] for i, row in table}
+    want = []
+    for q in range(0, len(v), 20):
+        cut = lambda s: max(-(2**63), min(2**63 - 1, s))
+        best = sorted((-cut(sum(a * b for a, b in zip(whole[q], row))), i) for i, row in whole.items() if i != q)[:5]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    got = top_k.top_k(spark, df, df.vec_id % 20 == 0, k=5).collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_empty_tables(spark):
     docs = frame(spark).limit(0)
     bench = spark.createDataFrame([], "item_id long, text string")
