@@ -25,7 +25,8 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -68,8 +69,9 @@ BAD_WORDS = frozenset("ad ads advert advertisement advertising adsense banner sp
 GOOD_WORDS = frozenset("article content entry post story main body text maincontent articlebody".split())
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')?+)*+)>"
     r"|<[a-zA-Z/][^>]*>|<[!?][^>]*(?:>|\Z)", re.DOTALL)
+_OPEN_END = re.compile(r"<!--.*|<[!?][^>]*\Z", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(?i)\b(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)")
 _HIDDEN = re.compile(r"(?i)(?:\s|^)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -95,59 +97,55 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
     nodes = [Node("#page", -1)]
     parts: list[tuple[int, str | None]] = []
     open_ = [0]
-    at = 0
-    raw = ""
+    places: dict[str, list[int]] = defaultdict(list)  # where in open_ the elements of a name are, ascending
 
     def end(upto: int) -> None:
         while len(open_) > upto:
-            if nodes[open_.pop()].tag not in INLINE:
+            tag = nodes[open_.pop()].tag
+            places[tag].pop()
+            if tag not in INLINE:
                 parts.append((open_[-1], None))
 
     def text(piece: str) -> None:
         if piece:
             parts.append((open_[-1], html.unescape(piece)))
 
-    for m in _MARKUP.finditer(page):
-        if m.start() < at:
-            continue
+    at, last = 0, page.rfind(">")
+    while True:
+        # beyond the last > there is no tag, only a comment or declaration that has no end
+        m = _MARKUP.search(page, at) if at <= last else _OPEN_END.search(page, at)
+        if m is None:
+            break
         text(page[at:m.start()])
         at = m.end()
-        name = m["name"]
+        name = m["name"] if m.re is _MARKUP else None
         if name is None:
             continue
         name = name.lower()
         if m["close"]:
-            found = next((k for k in range(len(open_) - 1, 0, -1) if nodes[open_[k]].tag == name), 0)
-            if found:
-                end(found)
+            if places[name]:
+                end(places[name][-1])
             elif name == "p":
                 parts.append((open_[-1], None))
             continue
-        if name in CLOSES_P:
-            found = next((k for k in range(len(open_) - 1, 0, -1) if nodes[open_[k]].tag == "p"), 0)
-            if found:
-                end(found)
+        if name in CLOSES_P and places["p"]:
+            end(places["p"][-1])
         if name in ENDS:
             names, borders = ENDS[name]
-            cut = 0
-            for k in range(len(open_) - 1, 0, -1):
-                tag = nodes[open_[k]].tag
-                if tag in borders:
-                    break
-                if tag in names:
-                    cut = k
-            if cut:
-                end(cut)
+            border = max((places[b][-1] for b in borders if places[b]), default=0)
+            inside = [places[n][k] for n in names if (k := bisect_right(places[n], border)) < len(places[n])]
+            if inside:
+                end(min(inside))
         if name not in INLINE:
             parts.append((open_[-1], None))
         if name in VOID:
             continue
         nodes.append(Node(name, open_[-1], m["rest"] or ""))
         nodes[open_[-1]].children.append(len(nodes) - 1)
+        places[name].append(len(open_))
         open_.append(len(nodes) - 1)
         if name in RAW:  # all up to its end tag is text
-            raw = re.compile(rf"(?i)</{re.escape(name)}\s*[^>]*>")
-            stop = raw.search(page, at)
+            stop = re.compile(rf"(?i)</{re.escape(name)}(?=[\s/>])[^>]*>").search(page, at)
             parts.append((open_[-1], html.unescape(page[at:stop.start() if stop else len(page)])))
             at = stop.end() if stop else len(page)
             end(len(open_) - 1)

@@ -275,6 +275,28 @@ def trained():
     return html_text.fit(sum((html_text.count_page(p, n % 2 == 0) for n, p in enumerate(pages[:60])), collections.Counter()))
 
 
+@pytest.mark.parametrize("page,want", [
+    ('<article><script>var a = "<!--";</script><p>Hello <b>world</b> this is text</p><!-- end --><p>More text here</p></article>',
+     [("script", 'var a = "<!--";'), ("p", "Hello "), ("b", "world"), ("p", " this is text"), ("p", "More text here")]),
+    ("<article><script>if (a<b) s='it';//don't</script><p class=\"x\">Hello there</p></article>",
+     [("script", "if (a<b) s='it';//don't"), ("p", "Hello there")]),
+    ("<p>a<b here, isn't it</p><p class='x'>Second paragraph isn't</p>", [("p", "a"), ("p", "Second paragraph isn't")]),
+    ("<a title = \"x>y\" href=z'>t</a> 5 < 6 <i", [("a", "t"), ("#page", " 5 < 6 <i")]),
+    ("<style>p</styles>q</style >z<!-- y", [("style", "p</styles>q"), ("#page", "z")]),
+])
+def test_markup_inside_scripts_values_and_comments(page, want):
+    nodes, parts = html_text.parse(page)
+    assert [(nodes[n].tag, t) for n, t in parts if t] == want
+
+
+def test_deep_and_broken_pages_take_little_time():
+    began = time.time()
+    for page in ("<div>" * 100_000, "<ul>" + "<div>" * 50_000 + "<li>" * 50_000, "<a " * 200_000, "<a x='" * 100_000, "<!--" * 100_000,
+                 "<table>" + "<tr><td>" * 50_000, "<b>" * 50_000 + "<li>x</li>" * 20_000, "</x>" * 100_000):
+        html_text.measure(*html_text.parse(page))
+    assert time.time() - began < 60
+
+
 def test_marginals_equal_sums_over_all_labellings():
     model = trained()
     for page in ("<div><p>some words of text here<a href=x>link</a></p><ul><li>a<li>b</ul></div>", "<nav><p>x</nav><h1>t</h1>", "text"):
