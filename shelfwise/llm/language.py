@@ -266,7 +266,7 @@ def _runs(values: np.ndarray) -> list[tuple[int, int]]:
 
 
 def identify(docs: DataFrame, train: DataFrame, text_col: str = "text", lang_col: str = "lang",
-             id_col: str = "doc_id") -> DataFrame:
+             id_col: str = "doc_id", once: bool = False) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), from the text alone; ``train`` has labelled rows.
 
     Null text, or one without a letter: language ``und``, score 0. Ties go
@@ -274,6 +274,8 @@ def identify(docs: DataFrame, train: DataFrame, text_col: str = "text", lang_col
     or no letter teach nothing; with none left, every language is ``und``.
     Columns of ``docs`` with one of the two names are replaced, all others
     kept. Repeated rows get equal results. An empty table gives an empty one.
+    With ``once``, a filter on the prediction is not moved into the scan,
+    where it would work out every prediction a second time.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(Model(training_sample(train, text_col, lang_col, id_col)))
@@ -290,6 +292,8 @@ def identify(docs: DataFrame, train: DataFrame, text_col: str = "text", lang_col
             yield pd.DataFrame({"lang": [x for langs, _ in parts for x in langs],
                                 "score": np.concatenate([np.zeros(0), *[s for _, s in parts]])})
 
+    if once:
+        predict = predict.asNondeterministic()
     names = [c for c in docs.columns if c not in ("lang_pred", "score")]
     return (docs.select(*names).withColumn("__p", predict(F.col(text_col)))
             .select(*names, F.col("__p.lang").alias("lang_pred"), F.col("__p.score").alias("score")))
@@ -302,7 +306,7 @@ def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
 
 def keep_identified(docs: DataFrame, train: DataFrame) -> DataFrame:
     """``docs`` whose language can be told, with ``lang`` set to it; rows without a letter go."""
-    out = identify(docs, train)
+    out = identify(docs, train, once=True)
     return out.where(F.col("lang_pred") != UNDETERMINED).select(
         *[F.col("lang_pred").alias("lang") if c == "lang" else F.col(c) for c in docs.columns])
 

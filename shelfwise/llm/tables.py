@@ -23,6 +23,14 @@ def removed(spark: SparkSession, path: str) -> None:
     there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(there, True)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What is in a folder."""
+    jvm = spark.sparkContext._jvm
+    there = jvm.org.apache.hadoop.fs.Path(path)
+    found = there.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(there)
+    return sorted(s.getPath().getName() for s in found)
+
+
 @contextmanager
 def written(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` as a Parquet table of the shared folder: lineage cut, columns read one by one, gone at the end."""
