@@ -17,11 +17,14 @@ from shelfwise.llm.language import held_out, keep_identified
 from shelfwise.llm.near_dedup import drop_near_duplicates
 from shelfwise.llm.packing import pack
 from shelfwise.llm.pii import pseudonymized
+from shelfwise.llm.tables import removed
 from shelfwise.session import ensure_checkpoint_dir
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``n_chars`` of the texts as they are now."""
+    """``docs`` with ``n_chars``, if they have it, of the texts as they are now."""
+    if "n_chars" not in docs.columns:
+        return docs
     return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
@@ -66,10 +69,22 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the rows of the last."""
+    return run_stages(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)
+
+
+def run_stages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All stages over ``docs``; the rows of the last.
+
+    A stage's folder goes when the next one is written, so that there are two
+    at most; the last one stays, for whoever reads the result, until the
+    shared folder is cleared.
+    """
     folder = f"{ensure_checkpoint_dir(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            removed(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
