@@ -25,21 +25,19 @@ from __future__ import annotations
 
 import json
 import os
-import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from shelfwise.llm.graph import saved
-from shelfwise.llm.packing import _byte_of_character as byte_of_character
+from shelfwise.llm.packing import _byte_of_character as byte_of_character, _ranges as ranges
 from shelfwise.llm.tables import written
 from shelfwise.llm.words import given_back, slices, utf8
 
@@ -53,29 +51,57 @@ TELLING, KEYS = 8, 3
 QUERY_TERMS = 8
 #: BM25's saturation and length parameters.
 K1, B = 1.2, 0.75
-#: Words whose ids a Python worker remembers, and unknown ones encoded at once.
+#: Words that are not plain whose ids a Python worker remembers, and words or parts encoded at once.
 KNOWN_WORDS, TOGETHER = 1_000_000, 2000
-#: Bytes of text looked at together.
-SLICE = 4 << 20
+#: Bytes of text looked at together: each word and part of a word is looked at once in them.
+SLICE = 16 << 20
 
 #: Ends a part of a word in the faster engine; a byte that plain words don't have.
 _MARK = b"\x01"
 #: Words whose normal form is their lower case, one character for one: ASCII, and Latin letters with their accents.
-_PLAIN = re.compile("[!-~\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017e]+")
+_PLAIN = "^[!-~\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0148\u014a-\u017e]*$"
+#: How a tokenizer file cuts words into parts if ``part_starts`` may do it.
+_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Kinds of bytes in lower-case plain words: signs, letters, digits.
+_SIGN, _LETTER, _DIGIT = range(3)
+_KIND = np.full(256, _SIGN, dtype=np.uint8)
+_KIND[[*range(ord("a"), ord("z") + 1), *range(0x80, 256)]] = _LETTER
+_KIND[ord("0"):ord("9") + 1] = _DIGIT
 
 _encoders: dict[str, "WordEncoder"] = {}
 
 
+def part_starts(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """Whether a part of a word begins at each byte of lower-case plain words, and at their end, as ``_PARTS`` cuts them."""
+    kind = _KIND[data]
+    edge = np.zeros(len(data) + 3, dtype=bool)  # where words begin; room to look two bytes ahead
+    edge[offsets] = True
+    begins = edge[:len(data) + 1].copy()
+    begins[1:-1] |= (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+    # a quote that is the first of its signs, and one of the endings behind it, are one part
+    quote = np.flatnonzero((data == ord("'")) & begins[:-1])
+    ahead = np.append(data, np.zeros(3, np.uint8))
+    one, two = ahead[quote + 1].astype(np.int64), ahead[quote + 2].astype(np.int64)
+    short = np.isin(one, [ord(c) for c in "stmd"]) & ~edge[quote + 1]
+    long = np.isin(one << 8 | two, [ord(c) << 8 | ord(d) for c, d in ("re", "ve", "ll")]) & ~edge[quote + 1] & ~edge[quote + 2]
+    begins[quote[short | long] + 1] = False
+    begins[quote[short] + 2] = True
+    begins[quote[long] + 3] = True
+    return begins
+
+
 class WordEncoder:
     """Token ids of whole texts, word by word, for a tokenizer file that drops white space.
 
     The vocabulary's pattern lets no token reach over white space, so a
     text's ids are its words' ids. Words are told apart by their bytes, and
-    each is encoded once while it is remembered. Words of plain Latin letters,
-    digits and signs go through a faster engine with the file's own
-    vocabulary; in it, a mark after each part of a word stands for the file's
+    each is encoded once in the texts that are given together. Words of plain
+    Latin letters, digits and signs are lower-cased and cut into parts on
+    their bytes, and each different part goes through a faster engine with the
+    file's own vocabulary; in it, a mark after a part stands for the file's
     sign of a word's end. All others are encoded by the tokenizer itself,
-    several in one text; the offsets of tokens tell where each begins.
+    several in one text, and remembered; the offsets of tokens tell where each
+    begins.
     """
 
     def __init__(self, path: str) -> None:
@@ -88,9 +114,8 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             contents = json.load(file)
         model, end = contents["model"], contents["model"]["end_of_word_suffix"]
-        self._added = re.compile("|".join(re.escape(t["content"]) for t in contents.get("added_tokens") or []) or "(?!)")
-        split = contents["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self._parts = regex.compile(split)
+        self._added = [t["content"] for t in contents.get("added_tokens") or []]
+        self._cut = contents["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] == _PARTS
         byte = byte_of_character()
         spelled = {}  # bytes, with the mark for a word's end, of each token but the added ones
         for token, i in model["vocab"].items():
@@ -105,38 +130,48 @@ class WordEncoder:
             ends = token.endswith(end)
             order.append(bytes(byte[c] for c in (token[:-len(end)] if ends else token)) + (_MARK if ends else b""))
         ranks = {token: r for r, token in enumerate(dict.fromkeys(order))}
-        self._engine = tiktoken.Encoding("words", pat_str=f"[^{_MARK.decode()} ]+{_MARK.decode()}| ", mergeable_ranks=ranks, special_tokens={})
+        self._engine = tiktoken.Encoding("words", pat_str=f"[^{_MARK.decode()}]+{_MARK.decode()}", mergeable_ranks=ranks, special_tokens={})
         self._id_of_rank = np.array([spelled.get(token, -1) for token in ranks], dtype=np.int64)
+        self._ends = np.array([token.endswith(_MARK) for token in ranks])
         self.forget()
 
     def forget(self) -> None:
-        self._number: dict[str, int] = {"": 0}
-        self._starts, self._ids = np.zeros(2, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, new: list[str]) -> None:
-        """Encode words, none known yet, those of the faster engine first."""
-        plain, odd = [], []
-        for word in new:
-            (plain if _PLAIN.fullmatch(word) else odd).append(word)
-        starts, ids = [self._starts], [self._ids]
-        for own, encode in ((plain, self._encode_plain), (odd, self._encode_odd)):
-            for at in range(0, len(own), TOGETHER):
-                found, ends = encode(own[at:at + TOGETHER])
+        self._number: dict[str, int] = {}
+        self._starts, self._ids = np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def _plain(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all plain words in a row, and where each word's begin (one more than words)."""
+        offsets, data = utf8(pc.utf8_lower(words))
+        begins = part_starts(offsets, data)
+        starts = np.flatnonzero(begins)
+        parts = pa.LargeStringArray.from_buffers(len(starts) - 1, pa.py_buffer(starts), pa.py_buffer(data)).dictionary_encode()
+        different = parts.dictionary.to_pylist()
+        found = [np.zeros(0, np.uint32)]
+        for at in range(0, len(different), TOGETHER):
+            found.append(self._engine.encode_to_numpy(_MARK.decode().join([*different[at:at + TOGETHER], ""])))
+        ranks = np.concatenate(found)
+        ends = np.append(0, np.flatnonzero(self._ends[ranks]) + 1)  # where each part's ids begin
+        part = parts.indices.to_numpy()
+        sizes = np.diff(ends)[part]
+        ids = self._id_of_rank[ranks].astype(np.uint32)[ranges(ends[part], sizes)]
+        first = np.cumsum(begins)[offsets] - 1  # the part with which each word begins
+        return ids, np.append(0, np.cumsum(sizes))[first]
+
+    def _odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all other words in a row, and where each word's begin (one more than words)."""
+        if len(self._number) > KNOWN_WORDS:
+            self.forget()
+        if new := [w for w in words if w not in self._number]:
+            starts, ids = [self._starts], [self._ids]
+            for at in range(0, len(new), TOGETHER):
+                found, ends = self._encode_odd(new[at:at + TOGETHER])
                 starts.append(starts[-1][-1] + ends)
                 ids.append(found)
-        self._number.update(zip(plain + odd, range(len(self._number), len(self._number) + len(new)), strict=True))
-        self._starts, self._ids = np.concatenate(starts), np.concatenate(ids)
-
-    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row, and where each word's end."""
-        text = " ".join(words)
-        if self._added.search(text):
-            return self._encode_odd(words)
-        marked = self._parts.sub(f"\\g<0>{_MARK.decode()}", text.lower())
-        ranks = self._engine.encode_to_numpy(marked)
-        ids, gap = self._id_of_rank[ranks], ranks == ord(" ")  # single bytes are their own ranks
-        ends = np.append(np.flatnonzero(gap) - np.arange(len(words) - 1), len(ids) - (len(words) - 1))
-        return ids[~gap].astype(np.uint32), ends
+            self._number.update(zip(new, range(len(self._number), len(self._number) + len(new)), strict=True))
+            self._starts, self._ids = np.concatenate(starts), np.concatenate(ids)
+        number = np.fromiter(map(self._number.__getitem__, words), np.int64, len(words))
+        sizes = np.diff(self._starts)[number]
+        return self._ids[ranges(self._starts[number], sizes)], np.append(0, np.cumsum(sizes))
 
     def _encode_odd(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         begins = np.cumsum([0] + [len(w) + 1 for w in words[:-1]])
@@ -144,20 +179,47 @@ class WordEncoder:
         firsts = np.fromiter((a for a, _ in encoded.offsets), np.int64, len(encoded.ids))
         return np.array(encoded.ids, dtype=np.uint32), np.append(np.searchsorted(firsts, begins[1:]), len(firsts))
 
+    def _is_plain(self, words: pa.Array) -> np.ndarray:
+        if not self._cut:
+            return np.zeros(len(words), dtype=bool)
+        plain = pc.match_substring_regex(words, _PLAIN)
+        for token in self._added:
+            plain = pc.and_not(plain, pc.match_substring(words, token))
+        return plain.to_numpy(zero_copy_only=False)
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, and where each text's begin (one more than texts); null is empty."""
         lists = pc.ascii_split_whitespace(texts.fill_null(""))
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self._number) > KNOWN_WORDS:
-            self.forget()
-        if new := [w for w in words if w not in self._number]:
-            self._learn(new)
-        number = np.fromiter(map(self._number.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
-        first, sizes = self._starts[number], self._starts[number + 1] - self._starts[number]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        ids = self._ids[np.arange(total[-1]) + np.repeat(first - total[:-1], sizes)]
-        return ids, total[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        words, plain = coded.dictionary, self._is_plain(coded.dictionary)
+        plain_ids, plain_starts = self._plain(words.filter(pa.array(plain)))
+        odd_ids, odd_starts = self._odd(words.filter(pa.array(~plain)).to_pylist())
+        # plain words first, then the others
+        place = np.empty(len(words), dtype=np.int64)
+        place[np.append(np.flatnonzero(plain), np.flatnonzero(~plain))] = np.arange(len(words))
+        starts = np.append(plain_starts, len(plain_ids) + odd_starts[1:])
+        known = pa.LargeListArray.from_arrays(pa.array(starts), pa.array(np.append(plain_ids, odd_ids)))
+        found = known.take(pa.array(place[coded.indices.to_numpy()]))
+        begin = found.offsets.to_numpy()
+        return found.flatten().to_numpy(), begin[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+
+
+def together(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``size`` bytes or more, but the last."""
+    def joined(held):
+        out = held[0] if len(held) == 1 else pa.concat_batches(held)  # one is not copied
+        held.clear()
+        return out
+
+    held, held_bytes = [], 0
+    for batch in batches:
+        held.append(batch)
+        held_bytes += batch.nbytes
+        if held_bytes >= size:
+            yield joined(held)
+            held_bytes = 0
+    if held:
+        yield joined(held)
 
 
 def _encode(tokenizer: str, size: int, end_id: int, ids_as: str, schema: pa.Schema) -> Callable:
@@ -170,8 +232,9 @@ def _encode(tokenizer: str, size: int, end_id: int, ids_as: str, schema: pa.Sche
         task = TaskContext.get().partitionId() << 33
         row, whole = task, task
         frequency = np.zeros(max(encoder.vocabulary, end_id + 1), dtype=np.int64)
+        seen = np.zeros(len(frequency), dtype=np.int64)
         documents = tokens = 0
-        for batch in batches:
+        for batch in together(batches, SLICE):
             offsets, _ = utf8(batch.column("text"))
             for first, after in slices(offsets, SLICE):
                 part = batch.column("text").slice(first, after - first)
@@ -185,7 +248,9 @@ def _encode(tokenizer: str, size: int, end_id: int, ids_as: str, schema: pa.Sche
                     out["whole"].append(whole)
                     out["crcs"].append([zlib.crc32(doc[at:at + size].tobytes()) for at in range(0, tail, size)])
                     out["tail"].append(doc[tail:].astype(ids_as).tobytes())
-                    frequency[np.unique(doc)] += 1
+                    places = np.arange(len(doc))
+                    seen[doc] = places  # of equal ids the last one's
+                    frequency[doc[seen[doc] == places]] += 1
                     row, whole = row + 1, whole + tail // size
                     tokens += len(doc)
                 documents += len(part)

@@ -1,5 +1,6 @@
 """Retrieval packing: ids against the tokenizer, windows against plain BM25, sequences against their rules."""
 
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -9,9 +10,11 @@ import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 from tokenizers import Tokenizer
 
 from shelfwise.llm import retrieval_packing as rp
+from shelfwise.llm.words import utf8
 from tests.conftest import SF_SMALL
 from tests.llm.cases import DOCS, frame, text
 
@@ -46,6 +49,57 @@ def test_ids_are_the_tokenizers_own(monkeypatch):
     assert [x for t in range(0, len(texts), 40) for x in encoded(texts[t:t + 40], encoder)] == want
 
 
+def test_parts_are_cut_as_the_file_says():
+    with open(PATH, encoding="utf-8") as file:
+        split = json.load(file)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+    rng = random.Random(5)
+    letters = [*"stmdrevl''\"xéž70.-"]
+    words = ["", "'", "'s", "''s", "'sx", "it's", "'s's", "we'll've", "x'r", "x'", "'r", "e", "'l", "l"]
+    words += ["".join(rng.choices(letters, k=rng.randint(0, 7))) for _ in range(5000)]
+    offsets, data = utf8(pa.array(words, pa.string()))
+    starts = np.flatnonzero(rp.part_starts(offsets, data)).tolist()
+    got = [data[a:b].tobytes().decode() for a, b in zip(starts[:-1], starts[1:])]
+    assert got == [part for w in words for part in regex.findall(split, w)]
+    assert rp.part_starts(*utf8(pa.array([], pa.string()))).tolist() == [True]
+
+
+def test_each_part_is_encoded_once():
+    """Words that differ in case or signs share the work of their parts; few words go to the tokenizer itself."""
+    encoder, given = rp.WordEncoder(PATH), []
+    engine = encoder._engine
+
+    class Counted:
+        def encode_to_numpy(self, text):
+            given.append(text)
+            return engine.encode_to_numpy(text)
+
+    encoder._engine = Counted()
+    texts = ["Thoundth thoundth, (THOUNDTH) thoundth's", "thoundth. Été été! 'Thoundth' <|endoftext|> 각"]
+    assert encoded(texts, encoder) == whole_ids(texts)
+    parts = [p for t in given for p in regex.split("[\x01 ]", t) if p]
+    assert parts.count("thoundth") == parts.count("été") == 1 and len(parts) == len(set(parts))
+    assert set(encoder._number) == {"<|endoftext|>", "각"}
+
+
+def test_other_patterns_are_left_to_the_tokenizer(tmp_path):
+    with open(PATH, encoding="utf-8") as file:
+        contents = json.load(file)
+    contents["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(contents), encoding="utf-8")
+    texts = ["it's 1234 a1b2, (x)", None, "été 12"]
+    tokenizer = Tokenizer.from_file(str(path))
+    assert encoded(texts, rp.WordEncoder(str(path))) == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_batches_together():
+    batches = [pa.RecordBatch.from_pydict({"x": list(range(a, a + 10))}) for a in range(0, 70, 10)]
+    got = list(rp.together(iter(batches), 3 * batches[0].nbytes))
+    assert [b.num_rows for b in got] == [30, 30, 10] and [v for b in got for v in b.column("x").to_pylist()] == list(range(70))
+    assert [b is c for b, c in zip(rp.together(iter(batches), 1), batches, strict=True)] == [True] * 7
+    assert list(rp.together(iter([]), 10)) == []
+
+
 def rows_of(df):
     return [r.asDict() for r in df.collect()]
 
